@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from veilspan.llm import near_dedup
+from veilspan.llm import mixing, near_dedup, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,3 +26,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets have a Jaccard of 85 % or more."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+@query
+def op1_balanced_label_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in shards 0 to 39 of equal row counts, copies together where they fit."""
+    return sharding.shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@query
+def op8_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of each document that a mix by source weights takes."""
+    found = mixing.copies(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+ORACLES["op8_systematic_mixing"] = mixing.ORACLE
