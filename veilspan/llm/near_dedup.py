@@ -12,10 +12,11 @@ verified on their full sets.
 How skew is handled, without pairs of all rows and without caps:
 
 * texts of equal sets are one representative (their smallest id) from the start;
-* round 1 verifies each band bucket's members against its smallest one only;
+* round 1 verifies each band bucket's members against one of them only, the one
+  that shares the most bands in all;
 * round 2 takes the buckets that still hold several components and compares
-  every pair of different components left, on registers, in blocks of members;
-  only pairs that pass the estimate are emitted and verified.
+  every pair of different components left, in blocks of members; a block emits
+  a forest of its links, not its pairs.
 
 So every pair that shares a band is either in one component already or tested.
 
@@ -42,7 +43,7 @@ from veilspan.shipping import ship
 
 BUCKETS, MANTISSA = 256, 10
 #: Members of a band bucket that one block compares with another block.
-BLOCK = 512
+BLOCK = 256
 #: The chance, at the threshold itself, that no band is shared.
 MISS = 1e-4
 _U = np.uint64
@@ -187,28 +188,59 @@ def _verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
     return held.select("a", "b", "text_a", "text_b").mapInArrow(_verified(k, percent), "a long, b long").distinct()
 
 
-def _blocks(threshold: float):
-    """Compares one block of a bucket's minority members with one block of all its members."""
+def _blocks(k: int, percent: int):
+    """Compares one block of a bucket's minority members with one block of all its members.
+
+    A pair is compared in the first band it shares only. Pairs that the estimate
+    lets through are verified here, likeliest first, unless links of this block
+    connect them already; so what is emitted is no more than a forest.
+    """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    threshold = percent / 100
 
-    def side(rows: pa.ListScalar):
-        s = rows.values
+    def side(members: pa.ListScalar):
+        s = members.values
         regs = np.frombuffer(b"".join(s.field("regs").to_pylist()), np.uint16).reshape(-1, BUCKETS)
-        return s.field("rep").to_numpy(), s.field("component").to_numpy(), s.field("n").to_numpy(), regs
+        bands = s.field("bands").flatten().to_numpy().reshape(len(s), -1)
+        return s.field("rep").to_numpy(), s.field("component").to_numpy(), s.field("n").to_numpy(), regs, bands, s.field("text")
 
     def run(batches):
         for batch in batches:
-            left, right = [], []
+            out: list[tuple[int, int]] = []
             for i in range(batch.num_rows):
-                (ra, ca, na, xa), (rb, cb, nb, xb) = side(batch["few"][i]), side(batch["all"][i])
+                key = batch["key"][i].as_py()
+                (ra, ca, na, xa, ka, ta), (rb, cb, nb, xb, kb, tb) = side(batch["few"][i]), side(batch["all"][i])
+                found = []
                 for j in range(len(ra)):
                     other = np.flatnonzero((cb != ca[j]) & (rb != ra[j]))
                     if len(other):
-                        hit = other[may_link(xa[j], xb[other], na[j], nb[other], threshold)]
-                        left.append(np.minimum(ra[j], rb[hit]))
-                        right.append(np.maximum(ra[j], rb[hit]))
-            if left:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], schema=schema)
+                        same = kb[other] == ka[j]
+                        other = other[ka[j][same.argmax(1)] == key]
+                    if len(other):
+                        other = other[may_link(xa[j], xb[other], na[j], nb[other], threshold)]
+                        found += zip((-estimate(xa[j], xb[other], na[j], nb[other])[0]).tolist(), [j] * len(other), other.tolist(), strict=True)
+                root: dict[int, int] = {}
+                sets: dict[tuple[str, int], np.ndarray] = {}
+
+                def top(x: int, root=root) -> int:
+                    while root.get(x, x) != x:
+                        x = root[x]
+                    return x
+
+                def set_of(side_: str, at: int, texts, sets=sets) -> np.ndarray:
+                    if (side_, at) not in sets:
+                        sets[side_, at] = next(textnp.shingle_sets(*textnp.text_bytes(texts.slice(at, 1)), k))
+                    return sets[side_, at]
+
+                for _, j, o in sorted(found):
+                    x, y = top(int(ca[j])), top(int(cb[o]))
+                    if x != y:
+                        u, v = set_of("a", j, ta), set_of("b", o, tb)
+                        both = len(np.intersect1d(u, v, assume_unique=True))
+                        if 100 * both >= percent * (len(u) + len(v) - both):
+                            root[max(x, y)] = min(x, y)
+                            out.append((int(ra[j]), int(rb[o])))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], schema=schema)
 
     return run
 
@@ -227,8 +259,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     reps = materialize(reps.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "regs", "bands"), "reps")
 
     band = reps.select("rep", F.explode("bands").alias("key"))
-    leaders = band.groupBy("key").agg(F.min("rep").alias("lead"), F.count("*").alias("members")).where("members > 1")
-    buckets = materialize(band.join(leaders, "key").select("key", "lead", "members", "rep"), "buckets")
+    shared = band.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    buckets = materialize(band.join(shared, "key"), "buckets")
+    centre = buckets.groupBy("rep").agg(F.sum("members").alias("weight"))
+    buckets = buckets.join(centre, "rep")
+    leaders = buckets.groupBy("key").agg(F.max(F.struct("weight", (-F.col("rep")).alias("rep"))).alias("lead")).select("key", (-F.col("lead.rep")).alias("lead"))
+    buckets = materialize(buckets.drop("weight").join(leaders, "key"), "buckets")
     sketched = reps.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("regs").alias("regs_b"))
     pairs = buckets.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
     pairs = pairs.join(sketched, "b").join(sketched.toDF("a", "n_a", "regs_a"), "a")
@@ -242,16 +278,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     parts = left.groupBy("key", "component").agg(F.count("*").alias("part"))
     shape = parts.groupBy("key").agg(F.sum("part").alias("members"), F.max(F.struct("part", "component")).alias("top"), F.count("*").alias("components")).where("components > 1")
     open_ = left.join(shape.select("key", "members", F.col("top.component").alias("most")), "key")
-    open_ = open_.join(reps.select("rep", "n", "regs"), "rep").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")).withColumn("mine", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    text = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
     open_ = materialize(open_, "open")
-    member = F.struct("rep", "component", "n", "regs")
+    text = text.join(open_.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep"])
+    open_ = open_.join(reps.select("rep", "n", "regs", "bands"), "rep").join(text, "rep").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")).withColumn("mine", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    open_ = materialize(open_, "members")
+    member = F.struct("rep", "component", "n", "regs", "bands", "text")
     few = open_.where("component <> most").groupBy("key", "blocks", F.col("mine").alias("x")).agg(F.collect_list(member).alias("few"))
     few = few.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     all_ = open_.groupBy("key", F.col("mine").alias("y")).agg(F.collect_list(member).alias("all"))
-    more = few.join(all_, ["key", "y"]).select("few", "all").mapInArrow(_blocks(threshold), "a long, b long").distinct()
+    more = few.join(all_, ["key", "y"]).select("key", "few", "all").mapInArrow(_blocks(k, percent), "a long, b long").distinct()
     more = materialize(more, "pairs")
     if not more.isEmpty():
-        links = materialize(links.unionByName(_verify(more, docs, k, percent)), "links")
+        links = links.unionByName(more)
         labels = connected_components(links)
 
     found = classes.agg(F.min("doc_id").alias("rep")).join(labels, F.col("rep") == labels.node, "left")
