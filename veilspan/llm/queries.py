@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspan.llm import decontaminate, mixing, near_dedup, sharding, toxicity
+from veilspan.llm import decontaminate, mixing, near_dedup, quality, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,9 @@ def op10_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def op3_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for every document."""
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_perplexity_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the perplexity verdict of every document."""
+    return quality.quality(table(spark, sf_dir, "documents"))
