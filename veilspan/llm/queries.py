@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspan.llm import decontaminate, mixing, near_dedup, quality, sharding, toxicity
+from veilspan.llm import decontaminate, language_id, mixing, near_dedup, quality, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,3 +60,9 @@ def op3_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_perplexity_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the perplexity verdict of every document."""
     return quality.quality(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_centroid_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document."""
+    return language_id.languages(table(spark, sf_dir, "documents"))
