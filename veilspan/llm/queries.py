@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspan.llm import decontaminate, language_id, mixing, near_dedup, quality, sharding, toxicity
+from veilspan.llm import chat, decontaminate, language_id, mixing, near_dedup, quality, secrets, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +66,15 @@ def op6_perplexity_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_centroid_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predicted language of every document."""
     return language_id.languages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_network_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets that rules and network find in every document."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_budgeted_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the formatted windows of every conversation hold, read back from them."""
+    return chat.read_back(chat.format_conversations(chat.with_probe(table(spark, sf_dir, "conversations"))))
