@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspan.llm import chat, decontaminate, language_id, mixing, near_dedup, quality, secrets, sharding, toxicity
+from veilspan.llm import chat, decontaminate, language_id, licenses, mixing, near_dedup, quality, secrets, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +78,9 @@ def op2_network_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_budgeted_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the formatted windows of every conversation hold, read back from them."""
     return chat.read_back(chat.format_conversations(chat.with_probe(table(spark, sf_dir, "conversations"))))
+
+
+@query
+def op7_patience_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The license notices in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
