@@ -103,10 +103,13 @@ def shard_documents(docs: DataFrame, shards: int = 40, rounds: int = 4) -> DataF
 
     docs needs doc_id and text; its other columns are kept.
     """
-    text = F.col("row.text")
-    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in {"size", "text_crc32", "law", "shard", "slot", "grown_shard"}])
-    group = F.when(text.isNull(), F.xxhash64(F.lit("null"), "row.doc_id")).otherwise(F.xxhash64(text))
-    rows = docs.select(own.alias("row")).select("row", (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), group.alias("g"), F.xxhash64("row.doc_id").alias("h"))
+    # Input columns go under numbers, so that none clashes and Catalyst can drop those that no one reads.
+    kept = [c for c in docs.columns if c.lower() not in {"size", "text_crc32", "law", "shard", "slot", "grown_shard"}]
+    own = {c.lower(): F.col(f"in{i}") for i, c in enumerate(kept)}
+    text, doc_id = own["text"], own["doc_id"]
+    group = F.when(text.isNull(), F.xxhash64(F.lit("null"), doc_id)).otherwise(F.xxhash64(text))
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"in{i}") for i, c in enumerate(kept)])
+    rows = rows.withColumns({"size": (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long"), "text_crc32": F.crc32(text.cast("binary")), "g": group, "h": F.xxhash64(doc_id)})
 
     total = docs.count()
     salts, wide = max(16, total // 200_000), max(64, total // 50_000)
@@ -147,7 +150,7 @@ def shard_documents(docs: DataFrame, shards: int = 40, rounds: int = 4) -> DataF
     single = single.select("g", "salt", F.col("r").cast("long").alias("rank0"), F.filter(F.array(*free), lambda p: (F.col("r") >= p["first"]) & (F.col("r") < p["end"])).alias("places"))
 
     plan = materialize(linked.unionByName(single), "places")
-    rank = F.row_number().over(Window.partitionBy("g", "salt").orderBy("row.doc_id", "size")) - 1
+    rank = F.row_number().over(Window.partitionBy("g", "salt").orderBy(doc_id, F.col("size"))) - 1
     out = rows.join(plan, ["g", "salt"]).withColumn("rank", F.col("rank0") + rank)
     out = out.withColumn("place", F.filter("places", lambda p: (F.col("rank") >= p["first"]) & (F.col("rank") < p["end"]))[0])
-    return out.select("row.*", "size", "text_crc32", F.lit("rows").alias("law"), F.col("place.shard").alias("shard"), (F.col("place.base") + F.col("rank") - F.col("place.first")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    return out.select(*[F.col(f"in{i}").alias(c) for i, c in enumerate(kept)], "size", "text_crc32", F.lit("rows").alias("law"), F.col("place.shard").alias("shard"), (F.col("place.base") + F.col("rank") - F.col("place.first")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
