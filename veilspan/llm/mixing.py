@@ -57,21 +57,24 @@ def targets(sizes: DataFrame) -> DataFrame:
 
 def copies(docs: DataFrame) -> DataFrame:
     """docs with size, source_size, target and copies for every row."""
+    # Input columns go under numbers, so that none clashes and Catalyst can drop those that no one reads.
     kept = [c for c in docs.columns if c.lower() not in {"size", "source_size", "target", "copies"}]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row")).select("row", F.col("row.source").cast("string").alias("source"), n_words(F.col("row.text")).alias("size"))
-    name = F.coalesce(F.col("row.doc_id").cast("string"), F.concat(F.lit("t"), F.md5(F.coalesce("row.text", F.lit("")).cast("binary"))))
-    rows = rows.withColumn("key", F.coalesce("source", F.lit("\0null"))).withColumn("step", F.floor(F.sqrt("size")).cast("long")).withColumn("h", _hash(name)).withColumn("salt", (F.col("h") % SALTS).cast("int"))
+    own = {c.lower(): F.col(f"in{i}") for i, c in enumerate(kept)}
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"in{i}") for i, c in enumerate(kept)])
+    name = F.coalesce(own["doc_id"].cast("string"), F.concat(F.lit("t"), F.md5(F.coalesce(own["text"], F.lit("")).cast("binary"))))
+    rows = rows.withColumns({"source": own["source"].cast("string"), "size": n_words(own["text"]), "h": _hash(name)})
+    rows = rows.withColumns({"key": F.coalesce("source", F.lit("\0null")), "step": F.floor(F.sqrt("size")).cast("long"), "salt": (F.col("h") % SALTS).cast("int")})
 
     cells = materialize(rows.groupBy("key", "source", "step", "salt").agg(F.count("*").alias("n"), F.sum("size").alias("words")), "cells")
     known = targets(cells.groupBy("source").agg(F.sum("words").alias("source_size"))).withColumn("key", F.coalesce("source", F.lit("\0null"))).drop("source")
     before = F.coalesce(F.sum("n").over(Window.partitionBy("key").orderBy("step", "salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     cells = materialize(cells.withColumn("before", before).join(known, "key").select("key", "step", "salt", "before", "source_size", "target", "start"), "cells")
 
-    rank = F.row_number().over(Window.partitionBy("key", "step", "salt").orderBy("size", "h", "row.doc_id"))
+    rank = F.row_number().over(Window.partitionBy("key", "step", "salt").orderBy(F.col("size"), F.col("h"), own["doc_id"]))
     out = rows.join(cells, ["key", "step", "salt"]).withColumn("k", (F.col("before") + rank).cast("double"))
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size").cast("double")).otherwise(F.lit(0.0))
     taken = F.floor(F.col("k") * each + F.col("start")) - F.floor((F.col("k") - 1) * each + F.col("start"))
-    return out.select("row.*", "size", "source_size", "target", F.least(taken, F.lit(MOST)).cast("long").alias("copies"))
+    return out.select(*[F.col(f"in{i}").alias(c) for i, c in enumerate(kept)], "size", "source_size", "target", F.least(taken, F.lit(MOST)).cast("long").alias("copies"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
