@@ -147,11 +147,11 @@ def learn(docs: DataFrame, clusters: int = CLUSTERS) -> Centroids | None:
     each = max(1, MAX_SAMPLE // len(shares))
     bounds = docs.sparkSession.createDataFrame([(lang, -(2.0**63) + 2.0**64 * min(1.0, each / count)) for lang, count in shares.items()], "lang string, below double")
     sample = docs.withColumn("h", F.xxhash64("doc_id", F.lit(5))).join(F.broadcast(bounds), "lang").where(F.col("h") <= F.col("below"))
-    found = sample.select("lang", "text").mapInArrow(_sampled, "lang string, x binary").orderBy("lang", F.xxhash64("x")).limit(2 * MAX_SAMPLE).toPandas()
-    if found.empty:
+    found = sample.select("lang", "text").mapInArrow(_sampled, "lang string, x binary").orderBy("lang", F.xxhash64("x")).limit(2 * MAX_SAMPLE).toArrow()
+    if not found.num_rows:
         return None
-    x = vectors(np.frombuffer(b"".join(found["x"]), np.uint16).reshape(len(found), -1).astype(np.float32), idf)
-    lang, centroids, langs, least = found["lang"].to_numpy(), [], [], []
+    x = vectors(np.frombuffer(b"".join(found["x"].to_pylist()), np.uint16).reshape(found.num_rows, -1).astype(np.float32), idf)
+    lang, centroids, langs, least = np.array(found["lang"].to_pylist()), [], [], []
     for name in sorted(set(lang)):
         c, own = _kmeans(x[lang == name], clusters)
         near = (x[lang == name] * c[own]).sum(1)

@@ -270,9 +270,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     used = counts.where((F.col("neg") > 0) & (odds < 1.0) & (F.length("word") <= 42)).where(near("word")).select("word")
     lexicon = Lexicon(terms, stems, [r["word"] for r in used.limit(200_000).collect()])
 
-    rest = sample.where(part == 4).select(F.col("toxic").alias("toxic"), "text").mapInArrow(_scanner(lexicon), "toxic int, exact double, stem double, near double, quoted double").toPandas()
-    y = (rest["toxic"] == 1).to_numpy(float)
-    weights = _fit(rest[["exact", "stem", "near", "quoted"]].to_numpy(float), y) if len(rest) else _PRIOR
+    rest = sample.where(part == 4).select(F.col("toxic").alias("toxic"), "text").mapInArrow(_scanner(lexicon), "toxic int, exact double, stem double, near double, quoted double").toArrow()
+    x, y = (np.column_stack([rest[c].to_numpy() for c in names]) for names in (["exact", "stem", "near", "quoted"], ["toxic"]))
+    weights = _fit(x, (y[:, 0] == 1).astype(float)) if rest.num_rows else _PRIOR
     return Model(lexicon, weights)
 
 
