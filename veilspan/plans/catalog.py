@@ -1,10 +1,397 @@
-"""The engine's queries by name, with the SQL that each must agree with."""
+"""The engine's queries by name, with the SQL that each must agree with.
+
+A query without SQL is one that SQL cannot express in reasonable length; tests
+hold those against literal cases and brute force.
+"""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from veilspan.functions import patterns as P
+from veilspan.functions import pseudonyms as R
+from veilspan.functions import spans as S
+from veilspan.operators import decide, detect, judge, redactor, review, summary, validate
+from veilspan.operators.policy import Allowlist
+from veilspan.plans import pipeline
+from veilspan.sources import store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def sql_pattern(pattern: str) -> str:
+    """A pattern for SQL: without the flags that only Java knows, as the body of a string literal."""
+    m = re.match(r"\(\?([a-zA-Z]+)\)", pattern)
+    if m:
+        kept = "".join(c for c in m[1] if c in "ims")
+        pattern = (f"(?{kept})" if kept else "") + pattern[m.end() :]
+    return pattern.replace("++", "+").replace("*+", "*").replace("'", "''")
+
+
+def hits_sql(pattern: str, text: str = "text") -> str:
+    return f"coalesce(regexp_extract_all({text}, '{sql_pattern(pattern)}'), [])"
+
+
+def spans_sql(pattern: str, more: str = "") -> str:
+    """Rows (doc_id, start, end, text) of all matches; offsets are running lengths of gaps and matches."""
+    p = sql_pattern(pattern)
+    return f"""
+WITH m AS (SELECT doc_id, text AS whole, regexp_extract_all(text, '{p}') AS hits, string_split_regex(text, '{p}') AS gaps FROM documents),
+k AS (SELECT *, unnest(range(1, len(hits) + 1)) AS k FROM m),
+s AS (
+  SELECT doc_id, whole, hits[k] AS text,
+    (list_sum(list_transform(gaps[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:k - 1], lambda x: length(x))), 0))::INTEGER AS start
+  FROM k
+)
+SELECT doc_id, start, (start + length(text))::INTEGER AS "end", text{more} FROM s"""
+
+
+def span_rows(docs: DataFrame, pattern: str) -> DataFrame:
+    return S.rows(docs, S.find(F.col("text"), pattern), "doc_id")
+
+
+# RE2 has no lookaround. Next to a digit, "no word sign" is a word boundary; next to a bracket or a plus it is its absence.
+_PHONE = r"(?:\B\+1[-.\s]?\(?|\b1[-.\s]?\(?|\B\(|\b)\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}\b"
+# "No digit on either side", where no letter or underscore stands directly beside a card number.
+_CARD = r"\b(?:\d{4}[- ]?){3}\d{4}\b"
+
+
+@query(spans_sql(P.SAFETY["email"]))
+def email_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E-mail addresses with their offsets."""
+    return span_rows(table(spark, sf_dir, "documents"), P.SAFETY["email"])
+
+
+@query(spans_sql(_PHONE))
+def phone_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Telephone numbers with their offsets."""
+    return span_rows(table(spark, sf_dir, "documents"), P.SAFETY["phone"])
+
+
+@query(spans_sql(_CARD))
+def card_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Card numbers with their offsets."""
+    return span_rows(table(spark, sf_dir, "documents"), P.SAFETY["credit_card"])
+
+
+@query(spans_sql(P.SECRET_ASSIGNMENT))
+def secret_assignment_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assignments of passwords, keys and tokens with their offsets."""
+    return span_rows(table(spark, sf_dir, "documents"), P.SECRET_ASSIGNMENT)
+
+
+@query(spans_sql(P.IPV4))
+def ipv4_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dotted quads of octets with their offsets."""
+    return span_rows(table(spark, sf_dir, "documents"), P.IPV4)
+
+
+@query(
+    spans_sql(
+        P.SAFETY["email"],
+        ", CASE WHEN start > 50 THEN '...' ELSE '' END || substr(whole, greatest(0, start - 50) + 1, least(length(whole), start + length(text) + 50) - greatest(0, start - 50)) || CASE WHEN start + length(text) + 50 < length(whole) THEN '...' ELSE '' END AS context"
+        ", 'span_' || start || '_' || (start + length(text)) AS span_id",
+    )
+)
+def email_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E-mail addresses as candidates: ids and the text around them."""
+    docs = table(spark, sf_dir, "documents").withColumn("spans", S.typed(S.find(F.col("text"), P.SAFETY["email"]), "email", 0.95, "regex_fallback", "PII", "REDACT"))
+    return S.rows(detect.candidates(docs), "candidates", "doc_id").select("doc_id", "start", "end", "text", "context", "span_id")
+
+
+_WINDOW = "lower(substr(whole, greatest(0, start - 100) + 1, least(length(whole), start + length(text) + 100) - greatest(0, start - 100)))"
+
+
+def _any_sql(words) -> str:
+    return "(" + " OR ".join(f"contains(w, '{x}')" for x in words) + ")"
+
+
+_SCORE = "0.5::DOUBLE" + "".join(f" + CASE WHEN {_any_sql(w)} THEN 0.2::DOUBLE ELSE 0.0::DOUBLE END" for w in detect.KEYWORDS.values())
+_SCORE += f" + CASE WHEN {_any_sql(detect.PRIVACY_WORDS)} THEN 0.15::DOUBLE ELSE 0.0::DOUBLE END + CASE WHEN {_any_sql(detect.INCIDENT_WORDS)} THEN 0.1::DOUBLE ELSE 0.0::DOUBLE END"
+_SCORE += " + CASE WHEN length(text) > 20 THEN 0.1::DOUBLE WHEN length(text) < 5 THEN -0.1::DOUBLE ELSE 0.0::DOUBLE END"
+
+
+@query(f"""SELECT doc_id, start, text, least(1.0::DOUBLE, greatest(0.0::DOUBLE, {_SCORE})) AS confidence FROM ({spans_sql(P.CONTEXTUAL["employment_info"], f", {_WINDOW} AS w")})""")
+def contextual_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mentions of employment, scored by the words around them."""
+    found = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("whole"), F.explode_outer(S.find(F.col("text"), P.CONTEXTUAL["employment_info"])).alias("s")).where("s is not null")
+    return found.select("doc_id", "s.start", "s.text", detect.contextual_confidence(F.col("whole"), F.col("s.start"), F.col("s.text")).alias("confidence"))
+
+
+_RESIDUAL_SQL = {n: hits_sql(p) for n, p in P.RESIDUAL.items()} | {"internal_paths": r"coalesce(regexp_extract_all(text, '(?:^|\W)(/[a-zA-Z0-9_.-]+(?:/[a-zA-Z0-9_.-]+)+)', 1), [])"}
+_EXCLUDED_SQL = " OR ".join(f"regexp_matches(x, '{sql_pattern(p)}')" for p in P.EXCLUDED)
+
+
+def _kept_sql(hits: str) -> str:
+    return f"len(list_filter({hits}, lambda x: NOT ({_EXCLUDED_SQL})))::INTEGER"
+
+
+def residual_counts(docs: DataFrame) -> DataFrame:
+    counts = [F.size(F.filter(S.find(F.col("text"), p), lambda h: ~validate.excluded(h["text"]))).alias(n) for n, p in P.RESIDUAL.items()]
+    return docs.select("doc_id", *counts)
+
+
+_RESIDUAL_COUNTS = "SELECT doc_id, " + ", ".join(f"{_kept_sql(h)} AS {n}" for n, h in _RESIDUAL_SQL.items()) + " FROM documents"
+
+
+@query(_RESIDUAL_COUNTS)
+def residual_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document, what each residual scan finds in it."""
+    return residual_counts(table(spark, sf_dir, "documents"))
+
+
+_SUSPICIOUS = {
+    "obfuscated_emails": "contains(x, '@') AND contains(x, '.') AND length(x) > 10",
+    "spaced_phones": r"length(regexp_replace(x, '\D', '', 'g')) >= 10",
+    "partial_ssns": r"length(regexp_replace(x, '\D', '', 'g')) = 9",
+    "credit_card_variants": r"length(regexp_replace(x, '\D', '', 'g')) >= 13",
+    "encoded_data": "length(x) > 20 AND NOT regexp_matches(x, '[^A-Za-z0-9]')",
+    "hex_patterns": "length(x) >= 8",
+}
+_MARKED = "contains(x, '[REDACTED') OR contains(x, 'Person_') OR contains(x, 'server-')"
+
+
+@query("SELECT doc_id, " + ", ".join(f"len(list_filter({hits_sql(p)}, lambda x: {_SUSPICIOUS[n]} AND NOT ({_MARKED})))::INTEGER AS {n}" for n, p in P.ADVERSARIAL.items()) + " FROM documents")
+def adversarial_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document, what each scan for disguised identifiers suspects."""
+    counts = [F.size(F.filter(S.find(F.col("text"), p), lambda h: validate.suspicious(n, h["text"]))).alias(n) for n, p in P.ADVERSARIAL.items()]
+    return table(spark, sf_dir, "documents").select("doc_id", *counts)
+
+
+_COUNT = "(length({t}) - length(replace({t}, '{c}', '')))"
+
+
+def _count_sql(c: str, t: str = "text") -> str:
+    return _COUNT.format(t=t, c=c)
+
+
+_BARE = f"regexp_replace(text, '{sql_pattern(P.MARKER)}', '', 'g')"
+
+
+@query(f"""
+SELECT page_id, ({_count_sql(chr(10), 'html')} + 1)::INTEGER AS lines, {", ".join(f"len({hits_sql(p, 'html')})::INTEGER AS {n}" for n, p in P.STRUCTURE.items())},
+  ({_count_sql('[', _BARE.replace('text', 'html'))} + {_count_sql(']', _BARE.replace('text', 'html'))})::INTEGER AS brackets, ({_count_sql('"', 'html')} + {_count_sql("''", 'html')})::INTEGER AS quotes
+FROM pages""")
+def structure_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page, the counts that a rewrite must not change."""
+    return table(spark, sf_dir, "pages").select("page_id", *[c.cast("int").alias(n) for n, c in validate.structure_counts(F.col("html")).items()])
+
+
+_BY_SEVERITY = {s: " + ".join(n for n in P.RESIDUAL if validate.SEVERITY.get(n, "medium") == s) for s in ("critical", "high", "medium")}
+_METRICS_SQL = f"""
+WITH c AS (SELECT r.*, len({hits_sql(P.SAFETY["email"])} || {hits_sql(P.SECRET_ASSIGNMENT)})::DOUBLE AS n FROM ({_RESIDUAL_COUNTS}) r JOIN documents USING (doc_id)),
+d AS (SELECT *, ({" + ".join(P.RESIDUAL)})::DOUBLE AS r, ({_BY_SEVERITY["critical"]})::DOUBLE AS critical, ({_BY_SEVERITY["high"]})::DOUBLE AS high, ({_BY_SEVERITY["medium"]})::DOUBLE AS medium FROM c),
+e AS (SELECT *, CASE WHEN n > 0 THEN greatest(0.0::DOUBLE, n - r) / n ELSE 1.0::DOUBLE END AS precision, CASE WHEN n + r > 0 THEN n / (n + r) ELSE 1.0::DOUBLE END AS recall FROM d)
+SELECT doc_id, precision, recall, CASE WHEN precision + recall > 0 THEN 2 * (precision * recall) / (precision + recall) ELSE 0.0::DOUBLE END AS f1_score,
+  CASE WHEN n > 0 THEN r / n ELSE 0.0::DOUBLE END AS false_positive_rate, CASE WHEN n + r > 0 THEN r / (n + r) ELSE 0.0::DOUBLE END AS false_negative_rate, r::INTEGER AS residual_pii_count,
+  greatest(0.0::DOUBLE, least(1.0::DOUBLE, 1.0::DOUBLE - (critical * 0.3::DOUBLE + high * 0.2::DOUBLE + medium * 0.1::DOUBLE + 0.0::DOUBLE * 0.05::DOUBLE))) AS overall_quality_score, critical::INTEGER AS critical, high::INTEGER AS high
+FROM e"""
+
+
+def raw_metrics(docs: DataFrame) -> DataFrame:
+    """Metrics of unredacted texts: e-mail addresses and secrets as decisions, residual scans as issues."""
+    n = F.size(S.find(F.col("text"), P.SAFETY["email"])) + F.size(S.find(F.col("text"), P.SECRET_ASSIGNMENT))
+    rows = docs.select("doc_id", n.alias("n"), *[F.size(F.filter(S.find(F.col("text"), p), lambda h: ~validate.excluded(h["text"]))).alias(k) for k, p in P.RESIDUAL.items()])
+    by = {s: sum((F.col(k) for k in P.RESIDUAL if validate.SEVERITY.get(k, "medium") == s), F.lit(0)) for s in ("critical", "high", "medium")} | {"low": F.lit(0)}
+    every = sum((F.col(k) for k in P.RESIDUAL), F.lit(0))
+    return rows.select("doc_id", validate.quality_metrics(F.col("n"), every, F.lit(0), F.lit(0), by).alias("m"), by["critical"].alias("critical"), by["high"].alias("high"))
+
+
+@query(_METRICS_SQL)
+def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Precision, recall and the score of every document as it stands."""
+    m = raw_metrics(table(spark, sf_dir, "documents"))
+    return m.select("doc_id", *[F.col(f"m.{c}") for c in ("precision", "recall", "f1_score", "false_positive_rate", "false_negative_rate", "residual_pii_count", "overall_quality_score")], "critical", "high")
+
+
+@query(f"""
+WITH m AS ({_METRICS_SQL}), f AS (
+  SELECT *, overall_quality_score < 0.7::DOUBLE OR precision < 0.7::DOUBLE OR recall < 0.7::DOUBLE OR f1_score < 0.7::DOUBLE AS low, critical > 0 OR high > 0 OR residual_pii_count > 0 AS serious FROM m
+)
+SELECT doc_id, low OR serious AS needs_review,
+  CASE WHEN low OR serious THEN concat_ws('; ', CASE WHEN low THEN 'one or more quality metrics below threshold 0.70' END, CASE WHEN serious THEN 'validation found residual PII, schema violations, or high-severity issues' END)
+  ELSE 'quality score ' || printf('%.3f', overall_quality_score) || ' meets threshold 0.70' END AS reason
+FROM f""")
+def human_review_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents a person should see as they stand, and why."""
+    m = raw_metrics(table(spark, sf_dir, "documents"))
+    return m.select("doc_id", review.human_review(F.col("m"), F.col("critical"), F.col("high")).alias("h")).select("doc_id", "h.needs_review", "h.reason")
+
+
+@query(f"""
+SELECT doc_id, regexp_replace(regexp_replace(text, '{sql_pattern(P.SAFETY["email"])}', '[REDACTED_EMAIL]', 'g'), '{sql_pattern(P.SECRET_ASSIGNMENT)}', '[REDACTED_KEY]', 'g') AS redacted,
+  len({hits_sql(P.SAFETY["email"])})::INTEGER AS emails
+FROM documents""")
+def redact_email_secret(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without its e-mail addresses and secrets: detection, overlap, decision and splice for two kinds."""
+    docs = table(spark, sf_dir, "documents").withColumn("mail", S.typed(S.find(F.col("text"), P.SAFETY["email"]), "email", 0.95, "regex_fallback", "PII", "REDACT"))
+    secret = S.typed(S.find(F.col("text"), P.SECRET_ASSIGNMENT), "api_key", 0.9, "keyword_assignment", "SECRETS", "REDACT")
+    docs = docs.withColumn("spans", S.resolve(F.concat("mail", S.apart(secret, F.col("mail")))))
+    docs = decide.rewrite(decide.decide(docs, contextual=None, allowlist=Allowlist()))
+    return docs.select("doc_id", F.col("processed_text").alias("redacted"), F.size("mail").alias("emails"))
+
+
+@query(f"""
+SELECT doc_id, regexp_replace(text, '{sql_pattern(P.SAFETY["email"])}', '[EMAIL]', 'g') AS replaced, regexp_replace(text, '{sql_pattern(P.SAFETY["email"])}', '', 'g') AS removed,
+  list_transform({hits_sql(P.SAFETY["email"])}, lambda x: sha256(x)) AS hashes, list_transform({hits_sql(P.SAFETY["email"])}, lambda x: '****' || substr(x, 5)) AS masks
+FROM documents""")
+def redactor_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The standalone redactor's four ways on e-mail addresses."""
+    docs = table(spark, sf_dir, "documents").withColumn("s", S.typed(S.find(F.col("text"), P.SAFETY["email"]), "email", 0.95, "regex_fallback", "PII", "REDACT"))
+    whole = [redactor.redact(F.col("text"), F.col("s"), m).alias(n) for m, n in (("replace", "replaced"), ("remove", "removed"))]
+    return docs.select("doc_id", *whole, *[F.transform("s", lambda s: redactor.replacement(s, m)).alias(n) for m, n in (("hash", "hashes"), ("mask", "masks"))])
+
+
+@query("""
+WITH c AS (SELECT c_custkey, c_name, sha256(lower(c_name)) AS h FROM customer)
+SELECT c_custkey, 'Person_' || substr(h, 1, 8) AS person, 'server-' || substr(h, 1, 3) || '.internal' AS host, '192.168.1.' || (('0x' || substr(h, 1, 1))::INTEGER % 254 + 1) AS ip,
+  'CUST_' || substr(h, 1, 8) AS customer, 'REF-' || substr(h, 1, 6) AS ticket, '[PSEUDONYM_CUSTOM_KUBERNETES_POD_' || substr(h, 1, 8) || ']' AS pod
+FROM c""")
+def pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudonyms of all customers' names in several forms."""
+    kinds = {"person": "person_name", "host": "hostname", "ip": "ip_address", "customer": "customer_id", "ticket": "custom_jira_ticket", "pod": "custom_kubernetes_pod"}
+    return table(spark, sf_dir, "customer").select("c_custkey", *[R.pseudonym(F.lit(k), F.col("c_name")).alias(n) for n, k in kinds.items()])
+
+
+def _numbers_sql() -> str:
+    out = "0::BIGINT"
+    for i in range(4):
+        out = f"(({out} * {2**32 % 1_000_000} + ('0x' || substr(h, {8 * i + 1}, 8))::BIGINT) % 1000000)"
+    return out
+
+
+@query(f"""
+WITH c AS (SELECT c_custkey, md5(c_name || 'pseudonym_seed') AS h FROM customer), n AS (SELECT c_custkey, {_numbers_sql()} AS n FROM c)
+SELECT c_custkey, n AS number, 'user' || n || '@example.com' AS email, printf('+1-555-%04d', n) AS phone, printf('server%03d.internal.com', n) AS host, printf('cust_%06d', n) AS customer,
+  list_extract({list(R.FIRST_NAMES)}, n % 8 + 1) || ' ' || list_extract({list(R.LAST_NAMES)}, (n // 8) % 8 + 1) AS name
+FROM n""")
+def numbered_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit rewrite's pseudonyms of all customers' names."""
+    kinds = {"email": "email", "phone": "phone", "host": "hostname", "customer": "customer_id", "name": "person_name"}
+    return table(spark, sf_dir, "customer").select("c_custkey", R.number(F.col("c_name")).alias("number"), *[R.numbered_pseudonym(F.lit(k), F.col("c_name")).alias(n) for n, k in kinds.items()])
+
+
+@query("""
+SELECT n_nationkey, CASE WHEN lower(trim(n_name)) IN ('nation_3', 'france') THEN lower(trim(n_name)) WHEN regexp_matches(trim(n_name), '^.*(1|A)$') THEN '^.*(1|A)$' WHEN regexp_matches(trim(n_name), 'N') THEN 'N' END AS matched
+FROM nation""")
+def allowlist_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which literal or pattern of an allowlist each nation's name matches."""
+    return table(spark, sf_dir, "nation").select("n_nationkey", Allowlist(["Nation_3", "FRANCE"], ["^.*(1|A)$", "N"]).match(F.col("n_name")).alias("matched"))
+
+
+@query("""
+WITH z AS (SELECT doc_id, text, unnest(range(0, greatest(length(text), 1), 7700)) AS z FROM documents)
+SELECT doc_id, (z // 7700)::INTEGER AS piece, length(substr(text, z + 1, 8000))::INTEGER AS chars, md5(substr(text, z + 1, 8000)) AS digest FROM z WHERE z = 0 OR z + 300 < length(text)""")
+def review_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces in which a reviewer would read every document."""
+    pieces = table(spark, sf_dir, "documents").select("doc_id", F.posexplode_outer(review.windows(F.col("text"))).alias("piece", "p"))
+    return pieces.select("doc_id", "piece", F.length("p").alias("chars"), F.md5(F.col("p").cast("binary")).alias("digest"))
+
+
+@query("SELECT doc_id, source, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
+def unprocessed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without a label, as items without a result."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    return store.unprocessed(docs, table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "ref"), "doc_id", "ref")
+
+
+@query("SELECT conv_id, turn, role FROM conversations WHERE conv_id IS NULL OR conv_id IN (SELECT item_id FROM benchmark)")
+def orphan_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns whose conversation number is also a benchmark item's: results without orphans."""
+    return store.without_orphans(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role"), table(spark, sf_dir, "benchmark"), "conv_id", "item_id")
+
+
+@query("""
+WITH t AS (SELECT count(*) AS total FROM customer), h AS (SELECT count(DISTINCT user_id) AS processed, coalesce(avg(CAST(json_extract_string(props, '$.k') AS DOUBLE)), 0.0) AS average FROM events JOIN customer ON user_id = c_custkey)
+SELECT total AS total_incidents, processed AS processed_incidents, total - processed AS unprocessed_incidents, processed / total * 100 AS processing_percentage, round(average, 3) AS average_quality_score FROM t, h""")
+def store_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store statistics, with customers as items and events as their results."""
+    events = table(spark, sf_dir, "events").select("user_id", "props")
+    return store.store_statistics(table(spark, sf_dir, "customer").select("c_custkey"), events, "c_custkey", "user_id", F.get_json_object("props", "$.k").cast("double"))
+
+
+@query("SELECT o_orderkey, o_orderdate, o_totalprice FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 100")
+def latest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 100 newest orders: a listing's top n."""
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice").orderBy(F.desc("o_orderdate"), "o_orderkey").limit(100)
+
+
+@query("SELECT user_id, event_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
+def latest_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each user the newest event: the view that an upsert reads."""
+    return store.latest(table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value", "ts"), "user_id", F.desc("ts"), F.desc("event_id")).drop("ts")
+
+
+@query("SELECT conv_id, string_agg('- ' || role || ': ' || text, chr(10) ORDER BY turn) AS text, count(*) AS turns FROM conversations GROUP BY conv_id")
+def conversation_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text for each conversation, a line for each turn."""
+    turns = table(spark, sf_dir, "conversations")
+    rows = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.concat(F.lit("- "), F.col("role"), F.lit(": "), F.col("text")).alias("line")))).alias("rows"))
+    return rows.select("conv_id", F.array_join(F.transform("rows", lambda r: r["line"]), "\n").alias("text"), F.size("rows").cast("long").alias("turns"))
+
+
+@query()
+def redact_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document redacted."""
+    out = pipeline.redact(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("processed_text").alias("redacted_text"), F.size("spans").alias("n_entities"))
+
+
+@query()
+def deterministic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All spans that the rules find, overlaps resolved."""
+    found = detect.detect(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return S.rows(found, "spans", "doc_id")
+
+
+@query()
+def arbitration_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is done with every deterministic and contextual span."""
+    docs = detect.contextual(detect.detect(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return S.rows(decide.decide(docs), "decisions", "doc_id")
+
+
+@query()
+def process_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stage on every document: texts, metrics, issues, advice and review."""
+    out = pipeline.process(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "processed_text", "audit_text", F.size("issues").alias("n_issues"), "quality_metrics", "checks", "recommendations", "human_review.needs_review", "human_review.reason")
+
+
+@query()
+def finder_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document, how many findings there are and how sure."""
+    docs = detect.contextual(detect.candidates(detect.detect(table(spark, sf_dir, "documents").select("doc_id", "text"))))
+    return judge.find(docs).select("doc_id", judge.finder_stats(F.col("findings")).alias("s")).select("doc_id", "s.*")
+
+
+@query()
+def judge_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per entity type, what the simulated judge says."""
+    docs = detect.contextual(detect.candidates(detect.detect(table(spark, sf_dir, "documents").select("doc_id", "text"))))
+    return judge.judge_summary(judge.judge(judge.find(docs)))
+
+
+@query()
+def corpus_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals and means of a processed corpus, by language."""
+    return summary.corpus_summary(pipeline.process(table(spark, sf_dir, "documents").select("doc_id", "lang", "text")), "lang")
