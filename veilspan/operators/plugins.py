@@ -23,18 +23,23 @@ Detector = Callable[[list[str]], list[list[tuple[int, int, str, str, float]]]]
 Model = Callable[[list[str]], list[str]]
 
 
+def _each(call: Callable[[list], list], rows: list, failed) -> list:
+    """call on all rows, or on one after the other if that fails; failed stands for the rows that fail alone."""
+    try:
+        return call(rows)
+    except Exception:
+        return [failed] if len(rows) == 1 else [y for x in rows for y in _each(call, [x], failed)]
+
+
 def detect_with(df: DataFrame, factory: Callable[[], Detector], text: str = "text", out: str = "ner") -> DataFrame:
-    """df with what a plug-in detector found; a failing batch finds nothing."""
+    """df with what a plug-in detector found; a text on which it fails has nothing."""
     ship(df.sparkSession)
 
     @F.pandas_udf(FOUND)
     def found(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         detector = factory()
         for part in parts:
-            try:
-                rows = detector(part.fillna("").tolist())
-            except Exception:
-                rows = [[] for _ in part]
+            rows = _each(detector, part.fillna("").tolist(), [])
             yield pd.Series([[{"start": a, "end": b, "text": t, "type": k, "score": s} for a, b, t, k, s in r] for r in rows])
 
     return df.withColumn(out, found(F.col(f"`{text}`")))
@@ -57,10 +62,7 @@ def ask(prompt: Column, factory: Callable[[], Model]) -> Column:
     def answered(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = factory()
         for part in parts:
-            try:
-                yield pd.Series(model(part.tolist()), dtype=object)
-            except Exception:
-                yield pd.Series([None] * len(part), dtype=object)
+            yield pd.Series(_each(model, part.tolist(), None), dtype=object)
 
     return answered(prompt)
 

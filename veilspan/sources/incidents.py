@@ -18,13 +18,13 @@ ID_FIELDS = ("id", "incident_id", "incidentId", "incident-id", "ticket_id", "tic
 
 
 def read_incidents(spark: SparkSession, path: str, permissive: bool = False) -> DataFrame:
-    """Records of .jsonl or .json files. Bad lines fail the read; permissive drops them instead."""
+    """Records of .jsonl or .json files. Bad lines fail the read; permissive reads JSON lines only and drops bad ones."""
     if not path.rstrip("/").lower().endswith((".json", ".jsonl")):
         raise ValueError(f"not a .json or .jsonl path: {path}")
-    reader = spark.read.schema(SCHEMA + ", _corrupt string" if permissive else SCHEMA).option("multiLine", path.lower().endswith(".json"))
-    if not permissive:
-        return reader.option("mode", "FAILFAST").json(path)
-    return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path).where("_corrupt is null").drop("_corrupt")
+    if permissive:
+        row = F.from_json("value", SCHEMA + ", _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+        return spark.read.text(path).where("trim(value) <> ''").select(row.alias("r")).where("r._corrupt is null").select("r.*").drop("_corrupt")
+    return spark.read.schema(SCHEMA).option("multiLine", path.lower().endswith(".json")).option("mode", "FAILFAST").json(path)
 
 
 def incident_id(df: DataFrame) -> Column:
