@@ -5,7 +5,8 @@ words that occur once in both are anchors, the longest increasing run of them is
 kept, and the gaps between anchors (and the equal words next to them) are aligned
 the same way until nothing is unique. Coverage is the share of the template's
 words that found a partner; 80 % or more is a finding. A text may hold several
-licenses and several copies of one.
+licenses and several copies of one; of findings that overlap (templates that are
+alike) the best covered stays, then the longest, then the first.
 
 Texts are skipped without alignment only where no finding is possible: 80 % of a
 template cannot be covered when none of a fifth of its words (plus one) is there.
@@ -144,7 +145,11 @@ class Templates:
                     runs.append([i])
             for run in runs:
                 found += self._aligned(name, t, ws, run[0], run[-1])
-        return sorted(found, key=lambda f: (f[2], f[3], f[0]))
+        kept: list[tuple[str, float, int, int]] = []
+        for f in sorted(found, key=lambda f: (-f[1], f[2] - f[3], f[2], f[0])):
+            if all(f[3] <= k[2] or k[3] <= f[2] for k in kept):
+                kept.append(f)
+        return sorted(kept, key=lambda f: f[2])
 
     @staticmethod
     def _aligned(name: str, t: list[str], ws: list[tuple[str, int, int]], first: int, last: int) -> list[tuple[str, float, int, int]]:
