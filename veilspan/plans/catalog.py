@@ -38,6 +38,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return pipeline.spread(table(spark, sf_dir, "documents").select("doc_id", *columns, "text"))
+
+
 def sql_pattern(pattern: str) -> str:
     """A pattern for SQL: without the flags that only Java knows, as the body of a string literal."""
     m = re.match(r"\(\?([a-zA-Z]+)\)", pattern)
@@ -156,7 +160,7 @@ _RESIDUAL_COUNTS = "SELECT doc_id, " + ", ".join(f"{_kept_sql(h)} AS {n}" for n,
 @query(_RESIDUAL_COUNTS)
 def residual_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document, what each residual scan finds in it."""
-    return residual_counts(table(spark, sf_dir, "documents"))
+    return residual_counts(documents(spark, sf_dir))
 
 
 _SUSPICIOUS = {
@@ -174,7 +178,7 @@ _MARKED = "contains(x, '[REDACTED') OR contains(x, 'Person_') OR contains(x, 'se
 def adversarial_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document, what each scan for disguised identifiers suspects."""
     counts = [F.size(F.filter(S.find(F.col("text"), p), lambda h: validate.suspicious(n, h["text"]))).alias(n) for n, p in P.ADVERSARIAL.items()]
-    return table(spark, sf_dir, "documents").select("doc_id", *counts)
+    return documents(spark, sf_dir).select("doc_id", *counts)
 
 
 _COUNT = "(length({t}) - length(replace({t}, '{c}', '')))"
@@ -219,7 +223,7 @@ def raw_metrics(docs: DataFrame) -> DataFrame:
 @query(_METRICS_SQL)
 def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Precision, recall and the score of every document as it stands."""
-    m = raw_metrics(table(spark, sf_dir, "documents"))
+    m = raw_metrics(documents(spark, sf_dir))
     return m.select("doc_id", *[F.col(f"m.{c}") for c in ("precision", "recall", "f1_score", "false_positive_rate", "false_negative_rate", "residual_pii_count", "overall_quality_score")], "critical", "high")
 
 
@@ -233,7 +237,7 @@ SELECT doc_id, low OR serious AS needs_review,
 FROM f""")
 def human_review_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents a person should see as they stand, and why."""
-    m = raw_metrics(table(spark, sf_dir, "documents"))
+    m = raw_metrics(documents(spark, sf_dir))
     return m.select("doc_id", review.human_review(F.col("m"), F.col("critical"), F.col("high")).alias("h")).select("doc_id", "h.needs_review", "h.reason")
 
 
@@ -243,7 +247,7 @@ SELECT doc_id, regexp_replace(regexp_replace(text, '{sql_pattern(P.SAFETY["email
 FROM documents""")
 def redact_email_secret(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text without its e-mail addresses and secrets: detection, overlap, decision and splice for two kinds."""
-    docs = table(spark, sf_dir, "documents").withColumn("mail", S.typed(S.find(F.col("text"), P.SAFETY["email"]), "email", 0.95, "regex_fallback", "PII", "REDACT"))
+    docs = documents(spark, sf_dir).withColumn("mail", S.typed(S.find(F.col("text"), P.SAFETY["email"]), "email", 0.95, "regex_fallback", "PII", "REDACT"))
     secret = S.typed(S.find(F.col("text"), P.SECRET_ASSIGNMENT), "api_key", 0.9, "keyword_assignment", "SECRETS", "REDACT")
     docs = docs.withColumn("spans", S.resolve(F.concat("mail", S.apart(secret, F.col("mail")))))
     docs = decide.rewrite(decide.decide(docs, contextual=None, allowlist=Allowlist()))
@@ -352,46 +356,46 @@ def conversation_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def redact_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document redacted."""
-    out = pipeline.redact(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = pipeline.redact(documents(spark, sf_dir))
     return out.select("doc_id", F.col("processed_text").alias("redacted_text"), F.size("spans").alias("n_entities"))
 
 
 @query()
 def deterministic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All spans that the rules find, overlaps resolved."""
-    found = detect.detect(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = detect.detect(documents(spark, sf_dir))
     return S.rows(found, "spans", "doc_id")
 
 
 @query()
 def arbitration_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is done with every deterministic and contextual span."""
-    docs = detect.contextual(detect.detect(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    docs = detect.contextual(detect.detect(documents(spark, sf_dir)))
     return S.rows(decide.decide(docs), "decisions", "doc_id")
 
 
 @query()
 def process_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stage on every document: texts, metrics, issues, advice and review."""
-    out = pipeline.process(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = pipeline.process(documents(spark, sf_dir))
     return out.select("doc_id", "processed_text", "audit_text", F.size("issues").alias("n_issues"), "quality_metrics", "checks", "recommendations", "human_review.needs_review", "human_review.reason")
 
 
 @query()
 def finder_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document, how many findings there are and how sure."""
-    docs = detect.contextual(detect.candidates(detect.detect(table(spark, sf_dir, "documents").select("doc_id", "text"))))
+    docs = detect.contextual(detect.candidates(detect.detect(documents(spark, sf_dir))))
     return judge.find(docs).select("doc_id", judge.finder_stats(F.col("findings")).alias("s")).select("doc_id", "s.*")
 
 
 @query()
 def judge_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per entity type, what the simulated judge says."""
-    docs = detect.contextual(detect.candidates(detect.detect(table(spark, sf_dir, "documents").select("doc_id", "text"))))
+    docs = detect.contextual(detect.candidates(detect.detect(documents(spark, sf_dir))))
     return judge.judge_summary(judge.judge(judge.find(docs)))
 
 
 @query()
 def corpus_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals and means of a processed corpus, by language."""
-    return summary.corpus_summary(pipeline.process(table(spark, sf_dir, "documents").select("doc_id", "lang", "text")), "lang")
+    return summary.corpus_summary(pipeline.process(documents(spark, sf_dir, "lang")), "lang")

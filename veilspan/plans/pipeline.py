@@ -9,6 +9,22 @@ from veilspan.operators import decide, detect, judge, review, summary, validate
 from veilspan.operators.policy import Allowlist, Policy
 
 
+#: Bytes for each core up to which an input is dealt out anew.
+SMALL = 16 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt evenly to all cores if the planner puts it at no more than SMALL bytes for each of them.
+
+    A file of one row group is one task's work, and these pipelines cost far more
+    than the shuffle of so few bytes. A larger input has row groups enough and is
+    read as it lies, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(2 * cores) if size <= SMALL * cores else df
+
+
 def redact(df: DataFrame, text: str = "text", policy: Policy | None = None, allowlist: Allowlist | None = None, ner: str | None = None) -> DataFrame:
     """df with spans, decisions and processed_text: the short way to a redacted corpus.
 
