@@ -5,7 +5,8 @@ words inside a sentence) become typed placeholders, letters are lower-cased and
 everything else separates tokens. Windows of five consecutive canonical tokens
 are hashed and joined with the windows of the benchmark. An item is found in a
 document when at least 80 % of its windows are there and its slots are filled
-consistently: wherever the item repeats a value, the document repeats one too.
+consistently in one of its occurrences (one alignment, near alignments, or the
+first places): wherever the item repeats a value, the document repeats one too.
 A question that was only given other numbers, names or units is so caught, and
 one that merely has the same shape in another sense is not.
 
@@ -19,7 +20,7 @@ Repeated rows of a document or an item count once. Other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veilspan.llm.common import materialize
@@ -57,13 +58,31 @@ def valued_tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(bare), _SPLIT), lambda t: t != "")
 
 
-def _windows(rows: DataFrame, token_column: str, *keep: str) -> DataFrame:
-    """keep, at (0-based position) and w (hash) of every window."""
+def _windows(rows: DataFrame, token_column: str, *keep: str, values: str | None = None) -> DataFrame:
+    """keep, at (0-based position) and w (hash) of every window; with values, the five of that column beside it."""
     t = F.col(token_column)
     n = F.size(t) - (WINDOW - 1)
-    rows = rows.where(n > 0).select(*keep, *[F.slice(t, j + 1, n).alias(f"z{j}") for j in range(WINDOW)])
-    long = rows.select(*keep, F.posexplode(F.arrays_zip(*[F.col(f"z{j}") for j in range(WINDOW)])).alias("at", "z"))
-    return long.select(*keep, "at", F.xxhash64(*[F.col(f"z.z{j}") for j in range(WINDOW)]).alias("w"))
+    rows = rows.where(n > 0).select(*keep, *([values] if values else []), *[F.slice(t, j + 1, n).alias(f"z{j}") for j in range(WINDOW)])
+    long = rows.select(*keep, *([values] if values else []), F.posexplode(F.arrays_zip(*[F.col(f"z{j}") for j in range(WINDOW)])).alias("at", "z"))
+    return long.select(*keep, "at", F.xxhash64(*[F.col(f"z.z{j}") for j in range(WINDOW)]).alias("w"), *([F.slice(values, F.col("at") + 1, WINDOW).alias(values)] if values else []))
+
+
+def _occurrences(hits: DataFrame) -> DataFrame:
+    """hits once for each place where the item may stand: kind, occurrence and the hit; hits have every pair of equal windows.
+
+    "all" takes the first place of each item window, wherever it is, "line" those of one alignment,
+    and "band" those of near alignments (words were put in or left out), the best filled alignment first.
+    """
+    pair = ["doc_id", "item_id"]
+    hits = hits.withColumn("line", F.col("at") - F.col("item_at"))
+    first = hits.withColumn("rank", F.row_number().over(Window.partitionBy(*pair, "item_at").orderBy("at", "dk", "ik"))).where("rank = 1").drop("rank")
+    first = first.select(F.lit("all").alias("kind"), F.lit(0).cast("long").alias("occurrence"), *hits.columns)
+    line = hits.select(F.lit("line").alias("kind"), F.xxhash64("dk", "ik", "line").alias("occurrence"), *hits.columns)
+    band = F.floor(F.col("line") / (8 + F.floor(F.col("item_windows") / 5)))
+    near = hits.withColumn("filled", F.count("*").over(Window.partitionBy(*pair, "dk", "ik", "line")))
+    near = near.withColumn("band", F.explode(F.array(band, band - 1))).withColumn("occurrence", F.xxhash64("dk", "ik", "band"))
+    near = near.withColumn("rank", F.row_number().over(Window.partitionBy(*pair, "occurrence", "item_at").orderBy(F.desc("filled"), "at"))).where("rank = 1")
+    return first.unionByName(line).unionByName(near.select(F.lit("band").alias("kind"), "occurrence", *hits.columns))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -72,33 +91,39 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     docs needs doc_id and text, benchmark needs item_id and text.
     """
     items = benchmark.where("item_id is not null").select("item_id", F.col("text").cast("string").alias("text")).distinct()
-    items = materialize(items.select("item_id", tokens(F.col("text")).alias("t"), valued_tokens(F.col("text")).alias("v")), "items")
+    items = materialize(items.select("item_id", F.xxhash64("text").alias("ik"), tokens(F.col("text")).alias("t"), valued_tokens(F.col("text")).alias("i")), "items")
     sizes = items.select("item_id", F.greatest(F.size("t") - (WINDOW - 1), F.lit(1)).alias("item_windows")).groupBy("item_id").agg(F.max("item_windows").alias("item_windows"))
-    wanted = materialize(_windows(items, "t", "item_id").withColumnRenamed("at", "item_at"), "item-windows")
+    wanted = materialize(_windows(items, "t", "item_id", "ik", values="i").withColumnRenamed("at", "item_at"), "item-windows")
     few = wanted.count() <= BROADCAST_ROWS
 
     texts = docs.where("doc_id is not null").select("doc_id", F.col("text").cast("string").alias("text"))
     found = _windows(texts.select("doc_id", tokens(F.col("text")).alias("t")), "t", "doc_id")
-    hits = found.join(F.broadcast(wanted) if few else wanted, "w")
+    places = wanted.select("item_id", "item_at", "w")
+    hits = found.select("doc_id", "w").join(F.broadcast(places) if few else places, "w")
     # What a document shares with an item, as distinct item windows; most pairs are far below the bound.
-    hits = hits.groupBy("doc_id", "item_id", "item_at").agg(F.min("at").alias("at"))
-    hits = materialize(hits, "hits")
+    hits = hits.select("doc_id", "item_id", "item_at").distinct()
     enough = hits.groupBy("doc_id", "item_id").agg(F.count("*").alias("windows")).join(sizes, "item_id").where(100 * F.col("windows") >= PERCENT * F.col("item_windows"))
     enough = materialize(enough, "enough")
 
-    # Slot values side by side, window by window.
-    valued = texts.join(enough.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", valued_tokens(F.col("text")).alias("dv"))
-    pairs = hits.join(enough.select("doc_id", "item_id"), ["doc_id", "item_id"]).select("doc_id", "item_id", "at", "item_at")
-    held = items.select("item_id", F.col("v").alias("iv")).where(F.size(F.filter("iv", lambda x: x.rlike(f"^[{NUM}-{NAME}]"))) > 0)
-    pairs = pairs.join(held, "item_id").join(valued, "doc_id")
-    slots = pairs.select("doc_id", "item_id", F.explode(F.sequence(F.lit(0), F.lit(WINDOW - 1))).alias("j"), "at", "item_at", "iv", "dv")
-    slots = slots.select("doc_id", "item_id", (F.col("item_at") + F.col("j")).alias("place"), F.try_element_at("iv", (F.col("item_at") + F.col("j") + 1).cast("int")).alias("i"), F.try_element_at("dv", (F.col("at") + F.col("j") + 1).cast("int")).alias("d"))
-    slots = slots.where(F.col("i").rlike(f"^[{NUM}-{NAME}]") & F.col("d").isNotNull()).distinct()
-    each = slots.groupBy("doc_id", "item_id", "i").agg(F.count_distinct("place").alias("places"), F.count_distinct("d").alias("values"), F.max((F.col("i") != F.col("d")).cast("int")).alias("other"))
-    verdict = each.groupBy("doc_id", "item_id").agg(F.avg(F.when(F.col("places") > 1, (F.col("values") == 1).cast("double"))).alias("consistent"), F.max("other").alias("other"))
-
-    out = enough.join(verdict, ["doc_id", "item_id"], "left").where(F.coalesce("consistent", F.lit(1.0)) >= CONSISTENT)
-    out = out.select("doc_id", "item_id", "windows", F.col("item_windows").cast("long").alias("item_windows"), (F.col("windows") / F.col("item_windows")).alias("coverage"), (F.coalesce("other", F.lit(0)) > 0).alias("reparameterised"))
+    # The few documents left, with every place of every window, are judged occurrence by occurrence.
+    again = texts.join(enough.select("doc_id").distinct(), "doc_id", "left_semi").distinct()
+    again = again.select("doc_id", F.xxhash64("text").alias("dk"), tokens(F.col("text")).alias("t"), valued_tokens(F.col("text")).alias("d"))
+    hits = _windows(again, "t", "doc_id", "dk", values="d").join(F.broadcast(wanted) if few else wanted, "w")
+    hits = materialize(hits.join(enough.drop("windows"), ["doc_id", "item_id"]).drop("w"), "hits")
+    key = ["doc_id", "item_id", "kind", "occurrence"]
+    taken = materialize(_occurrences(hits), "occurrences")
+    full = taken.groupBy(*key, "item_windows").agg(F.count_distinct("item_at").alias("n")).where(100 * F.col("n") >= PERCENT * F.col("item_windows")).select(*key)
+
+    # Slot values side by side, occurrence by occurrence.
+    slots = taken.join(full, key).select(*key, "item_at", F.posexplode(F.arrays_zip("i", "d")).alias("j", "z"))
+    slots = slots.select(*key, (F.col("item_at") + F.col("j")).alias("place"), "z.i", "z.d").where(F.col("i").rlike(f"^[{NUM}-{NAME}]") & F.col("d").isNotNull()).distinct()
+    each = slots.groupBy(*key, "i").agg(F.count_distinct("place").alias("places"), F.count_distinct("d").alias("values"), F.max((F.col("i") != F.col("d")).cast("int")).alias("other"))
+    verdict = each.groupBy(*key).agg(F.avg(F.when(F.col("places") > 1, (F.col("values") == 1).cast("double"))).alias("consistent"), F.max("other").alias("other"))
+    verdict = full.join(verdict, key, "left").where(F.coalesce("consistent", F.lit(1.0)) >= CONSISTENT)
+    verdict = verdict.groupBy("doc_id", "item_id").agg(F.min(F.coalesce("other", F.lit(0))).alias("other"))
+
+    out = enough.join(verdict, ["doc_id", "item_id"])
+    out = out.select("doc_id", "item_id", "windows", F.col("item_windows").cast("long").alias("item_windows"), (F.col("windows") / F.col("item_windows")).alias("coverage"), (F.col("other") > 0).alias("reparameterised"))
     short = items.where(f"size(t) between 1 and {WINDOW - 1}").select("item_id", F.concat_ws(" ", "t").alias("all")).distinct()
     if short.isEmpty():
         return out
