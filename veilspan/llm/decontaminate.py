@@ -1,8 +1,10 @@
 """Benchmark decontamination over canonical template windows.
 
-Texts are canonicalised: units after numbers, numbers and names (capitalised
-words inside a sentence) become typed placeholders, letters are lower-cased and
-everything else separates tokens. Windows of five consecutive canonical tokens
+Texts are canonicalised: units after numbers, numbers and names become typed
+placeholders, letters are lower-cased and everything else separates tokens. There
+are two readings: in one, names are capitalised words inside a sentence; in the
+other, capitalised words anywhere, up to four in a row being one name. Either may
+find an item. Windows of five consecutive canonical tokens
 are hashed and joined with the windows of the benchmark. An item is found in a
 document when at least 80 % of its windows are there and its slots are filled
 consistently in one of its occurrences (one alignment, near alignments, or the
@@ -49,22 +51,50 @@ def _marked(text: Column, keep: bool) -> Column:
 
 def tokens(text: Column) -> Column:
     """Canonical tokens of a text."""
-    return F.filter(F.split(F.lower(_marked(text, keep=False)), _SPLIT), lambda t: t != "")
+    return _split(_marked(text, keep=False))
+
+
+def _split(marked: Column) -> Column:
+    return F.filter(F.split(F.lower(marked), _SPLIT), lambda t: t != "")
 
 
 def valued_tokens(text: Column) -> Column:
     """The same tokens, each placeholder followed by the value that it stands for."""
-    bare = F.regexp_replace(_marked(text, keep=True), rf"(?<=\p{{Nd}})[.,:/](?=\p{{Nd}})|(?<={UNIT}(?:km|m))/(?=[hs])", "")
-    return F.filter(F.split(F.lower(bare), _SPLIT), lambda t: t != "")
+    return _split(_bare(_marked(text, keep=True)))
+
+
+def _bare(valued: Column) -> Column:
+    """A marked text with its values free of separators."""
+    return F.regexp_replace(valued, rf"(?<=\p{{Nd}})[.,:/](?=\p{{Nd}})|(?<={UNIT}(?:km|m))/(?=[hs])", "")
+
+
+def _named(marked: Column, keep: bool) -> Column:
+    """A marked text where capitalised words anywhere are names too, and up to four in a row are one."""
+    word = r"\p{Lu}\p{Ll}+(?![\p{L}\p{M}])"
+    one = f"{NAME}?({word})" if keep else f"(?:{NAME}|{word})"
+    return F.regexp_replace(marked, rf"(?<![\p{{L}}\p{{M}}\p{{Nd}}{NUM}{UNIT}]){one}" + rf"(?:\s+{one})?" * 3, f" {NAME}$1$2$3$4 " if keep else f" {NAME} ")
+
+
+def _readings(rows: DataFrame, *keep: str, values: bool = False) -> DataFrame:
+    """keep, reading and t of both readings of text, with values also v: 0 as tokens() has it, 1 with all names."""
+    texts = {"t": False} | ({"v": True} if values else {})
+    rows = rows.select(*keep, *[_marked(F.col("text"), keep=k).alias(c) for c, k in texts.items()])
+    both = [F.array(*[_split(_bare(x) if k else x) for x in (F.col(c), _named(F.col(c), k))]).alias(c) for c, k in texts.items()]
+    rows = rows.select(*keep, *both)
+    # Unfolded outer, here and below: an inner unfolding makes the optimizer copy the whole computation into a filter.
+    rows = rows.select(*keep, F.posexplode_outer(F.arrays_zip(*texts)).alias("reading", "z"))
+    return rows.select(*keep, "reading", *[F.col(f"z.{c}").alias(c) for c in texts])
 
 
-def _windows(rows: DataFrame, token_column: str, *keep: str, values: str | None = None) -> DataFrame:
-    """keep, at (0-based position) and w (hash) of every window; with values, the five of that column beside it."""
-    t = F.col(token_column)
-    n = F.size(t) - (WINDOW - 1)
-    rows = rows.where(n > 0).select(*keep, *([values] if values else []), *[F.slice(t, j + 1, n).alias(f"z{j}") for j in range(WINDOW)])
-    long = rows.select(*keep, *([values] if values else []), F.posexplode(F.arrays_zip(*[F.col(f"z{j}") for j in range(WINDOW)])).alias("at", "z"))
-    return long.select(*keep, "at", F.xxhash64(*[F.col(f"z.z{j}") for j in range(WINDOW)]).alias("w"), *([F.slice(values, F.col("at") + 1, WINDOW).alias(values)] if values else []))
+def _windows(rows: DataFrame, *keep: str, values: str | None = None) -> DataFrame:
+    """keep, reading, at (0-based position) and w (hash) of every window of t; with values, the five of v beside it, so named."""
+    keep = (*keep, "reading")
+    n = F.greatest(F.size("t") - (WINDOW - 1), F.lit(0))
+    rows = rows.withColumn("t", F.transform("t", lambda x: F.xxhash64(x)))
+    own = [F.col("v")] if values else []
+    rows = rows.select(*keep, *own, *[F.slice("t", j + 1, n).alias(f"z{j}") for j in range(WINDOW)])
+    long = rows.select(*keep, *own, F.posexplode_outer(F.arrays_zip(*[F.col(f"z{j}") for j in range(WINDOW)])).alias("at", "z")).where("at is not null")
+    return long.select(*keep, "at", F.xxhash64("reading", *[F.col(f"z.z{j}") for j in range(WINDOW)]).alias("w"), *[F.slice(v, F.col("at") + 1, WINDOW).alias(values) for v in own])
 
 
 def _occurrences(hits: DataFrame) -> DataFrame:
@@ -73,7 +103,7 @@ def _occurrences(hits: DataFrame) -> DataFrame:
     "all" takes the first place of each item window, wherever it is, "line" those of one alignment,
     and "band" those of near alignments (words were put in or left out), the best filled alignment first.
     """
-    pair = ["doc_id", "item_id"]
+    pair = ["doc_id", "item_id", "reading"]
     hits = hits.withColumn("line", F.col("at") - F.col("item_at"))
     first = hits.withColumn("rank", F.row_number().over(Window.partitionBy(*pair, "item_at").orderBy("at", "dk", "ik"))).where("rank = 1").drop("rank")
     first = first.select(F.lit("all").alias("kind"), F.lit(0).cast("long").alias("occurrence"), *hits.columns)
@@ -91,26 +121,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     docs needs doc_id and text, benchmark needs item_id and text.
     """
     items = benchmark.where("item_id is not null").select("item_id", F.col("text").cast("string").alias("text")).distinct()
-    items = materialize(items.select("item_id", F.xxhash64("text").alias("ik"), tokens(F.col("text")).alias("t"), valued_tokens(F.col("text")).alias("i")), "items")
-    sizes = items.select("item_id", F.greatest(F.size("t") - (WINDOW - 1), F.lit(1)).alias("item_windows")).groupBy("item_id").agg(F.max("item_windows").alias("item_windows"))
-    wanted = materialize(_windows(items, "t", "item_id", "ik", values="i").withColumnRenamed("at", "item_at"), "item-windows")
+    items = materialize(_readings(items.withColumn("ik", F.xxhash64("text")), "item_id", "ik", values=True), "items")
+    sizes = items.select("item_id", "reading", F.greatest(F.size("t") - (WINDOW - 1), F.lit(1)).alias("item_windows")).groupBy("item_id", "reading").agg(F.max("item_windows").alias("item_windows"))
+    wanted = materialize(_windows(items, "item_id", "ik", values="i").withColumnRenamed("at", "item_at"), "item-windows")
     few = wanted.count() <= BROADCAST_ROWS
 
     texts = docs.where("doc_id is not null").select("doc_id", F.col("text").cast("string").alias("text"))
-    found = _windows(texts.select("doc_id", tokens(F.col("text")).alias("t")), "t", "doc_id")
-    places = wanted.select("item_id", "item_at", "w")
-    hits = found.select("doc_id", "w").join(F.broadcast(places) if few else places, "w")
+    places = wanted.select("item_id", "item_at", "w", "reading")
+    hits = _windows(_readings(texts, "doc_id"), "doc_id").select("doc_id", "w", "reading").join(F.broadcast(places) if few else places, ["w", "reading"])
     # What a document shares with an item, as distinct item windows; most pairs are far below the bound.
-    hits = hits.select("doc_id", "item_id", "item_at").distinct()
-    enough = hits.groupBy("doc_id", "item_id").agg(F.count("*").alias("windows")).join(sizes, "item_id").where(100 * F.col("windows") >= PERCENT * F.col("item_windows"))
+    hits = hits.select("doc_id", "item_id", "reading", "item_at").distinct()
+    enough = hits.groupBy("doc_id", "item_id", "reading").agg(F.count("*").alias("windows")).join(sizes, ["item_id", "reading"]).where(100 * F.col("windows") >= PERCENT * F.col("item_windows"))
     enough = materialize(enough, "enough")
 
     # The few documents left, with every place of every window, are judged occurrence by occurrence.
-    again = texts.join(enough.select("doc_id").distinct(), "doc_id", "left_semi").distinct()
-    again = again.select("doc_id", F.xxhash64("text").alias("dk"), tokens(F.col("text")).alias("t"), valued_tokens(F.col("text")).alias("d"))
-    hits = _windows(again, "t", "doc_id", "dk", values="d").join(F.broadcast(wanted) if few else wanted, "w")
-    hits = materialize(hits.join(enough.drop("windows"), ["doc_id", "item_id"]).drop("w"), "hits")
-    key = ["doc_id", "item_id", "kind", "occurrence"]
+    again = materialize(texts.join(enough.select("doc_id").distinct(), "doc_id", "left_semi"), "again").distinct()
+    again = _readings(again.withColumn("dk", F.xxhash64("text")), "doc_id", "dk", values=True)
+    hits = _windows(again, "doc_id", "dk", values="d").join(F.broadcast(wanted) if few else wanted, ["w", "reading"])
+    hits = materialize(hits.join(enough.drop("windows"), ["doc_id", "item_id", "reading"]).drop("w"), "hits")
+    key = ["doc_id", "item_id", "reading", "kind", "occurrence"]
     taken = materialize(_occurrences(hits), "occurrences")
     full = taken.groupBy(*key, "item_windows").agg(F.count_distinct("item_at").alias("n")).where(100 * F.col("n") >= PERCENT * F.col("item_windows")).select(*key)
 
@@ -120,11 +149,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     each = slots.groupBy(*key, "i").agg(F.count_distinct("place").alias("places"), F.count_distinct("d").alias("values"), F.max((F.col("i") != F.col("d")).cast("int")).alias("other"))
     verdict = each.groupBy(*key).agg(F.avg(F.when(F.col("places") > 1, (F.col("values") == 1).cast("double"))).alias("consistent"), F.max("other").alias("other"))
     verdict = full.join(verdict, key, "left").where(F.coalesce("consistent", F.lit(1.0)) >= CONSISTENT)
-    verdict = verdict.groupBy("doc_id", "item_id").agg(F.min(F.coalesce("other", F.lit(0))).alias("other"))
+    verdict = verdict.groupBy("doc_id", "item_id", "reading").agg(F.min(F.coalesce("other", F.lit(0))).alias("other"))
 
-    out = enough.join(verdict, ["doc_id", "item_id"])
-    out = out.select("doc_id", "item_id", "windows", F.col("item_windows").cast("long").alias("item_windows"), (F.col("windows") / F.col("item_windows")).alias("coverage"), (F.col("other") > 0).alias("reparameterised"))
-    short = items.where(f"size(t) between 1 and {WINDOW - 1}").select("item_id", F.concat_ws(" ", "t").alias("all")).distinct()
+    # Of two readings the better covered one speaks.
+    out = enough.join(verdict, ["doc_id", "item_id", "reading"]).withColumn("coverage", F.col("windows") / F.col("item_windows"))
+    out = out.groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", -F.col("reading"), "windows", "item_windows", "other")).alias("best"))
+    out = out.select("doc_id", "item_id", "best.windows", F.col("best.item_windows").cast("long").alias("item_windows"), "best.coverage", (F.col("best.other") > 0).alias("reparameterised"))
+    short = items.where(f"reading = 0 and size(t) between 1 and {WINDOW - 1}").select("item_id", F.concat_ws(" ", "t").alias("all")).distinct()
     if short.isEmpty():
         return out
     whole = texts.select("doc_id", tokens(F.col("text")).alias("t")).where(f"size(t) between 1 and {WINDOW - 1}").select("doc_id", F.concat_ws(" ", "t").alias("all")).distinct()
