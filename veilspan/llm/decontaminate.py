@@ -9,7 +9,8 @@ are hashed and joined with the windows of the benchmark. An item is found in a
 document when at least 80 % of its windows are there and its slots are filled
 consistently in one of its occurrences (one alignment, near alignments, or the
 first places): wherever the item repeats a value, the document repeats one too.
-A question that was only given other numbers, names or units is so caught, and
+So is an item of which an unbroken passage holds 13 tokens of equal value, if the
+whole passage that they share is consistent. A question that was only given other numbers, names or units is so caught, and
 one that merely has the same shape in another sense is not.
 
 The main path is DataFrame functions only: no Python runs on the executors.
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 from veilspan.llm.common import materialize
 
 WINDOW, PERCENT = 5, 80
+#: Tokens of equal value in one unbroken passage of an item that are a finding, whatever the item's length.
+RUN = 13
 #: Benchmark windows of at most this many rows (24 bytes each) are broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 500_000
 #: Of the item values that stand in several slots, the share that must have one counterpart each.
@@ -101,7 +104,7 @@ def _occurrences(hits: DataFrame) -> DataFrame:
     """hits once for each place where the item may stand: kind, occurrence and the hit; hits have every pair of equal windows.
 
     "all" takes the first place of each item window, wherever it is, "line" those of one alignment,
-    and "band" those of near alignments (words were put in or left out), the best filled alignment first.
+    "run" those of one alignment without a gap, and "band" those of near alignments (words were put in or left out), the best filled alignment first.
     """
     pair = ["doc_id", "item_id", "reading"]
     hits = hits.withColumn("line", F.col("at") - F.col("item_at"))
@@ -112,7 +115,9 @@ def _occurrences(hits: DataFrame) -> DataFrame:
     near = hits.withColumn("filled", F.count("*").over(Window.partitionBy(*pair, "dk", "ik", "line")))
     near = near.withColumn("band", F.explode(F.array(band, band - 1))).withColumn("occurrence", F.xxhash64("dk", "ik", "band"))
     near = near.withColumn("rank", F.row_number().over(Window.partitionBy(*pair, "occurrence", "item_at").orderBy(F.desc("filled"), "at"))).where("rank = 1")
-    return first.unionByName(line).unionByName(near.select(F.lit("band").alias("kind"), "occurrence", *hits.columns))
+    begin = F.col("item_at") - F.row_number().over(Window.partitionBy(*pair, "dk", "ik", "line").orderBy("item_at"))
+    run = hits.withColumn("begin", begin).select(F.lit("run").alias("kind"), F.xxhash64("dk", "ik", "line", "begin").alias("occurrence"), *hits.columns)
+    return first.unionByName(line).unionByName(run).unionByName(near.select(F.lit("band").alias("kind"), "occurrence", *hits.columns))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -131,7 +136,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = _windows(_readings(texts, "doc_id"), "doc_id").select("doc_id", "w", "reading").join(F.broadcast(places) if few else places, ["w", "reading"])
     # What a document shares with an item, as distinct item windows; most pairs are far below the bound.
     hits = hits.select("doc_id", "item_id", "reading", "item_at").distinct()
-    enough = hits.groupBy("doc_id", "item_id", "reading").agg(F.count("*").alias("windows")).join(sizes, ["item_id", "reading"]).where(100 * F.col("windows") >= PERCENT * F.col("item_windows"))
+    enough = hits.groupBy("doc_id", "item_id", "reading").agg(F.count("*").alias("windows")).join(sizes, ["item_id", "reading"])
+    enough = enough.where((100 * F.col("windows") >= PERCENT * F.col("item_windows")) | (F.col("windows") > RUN - WINDOW))
     enough = materialize(enough, "enough")
 
     # The few documents left, with every place of every window, are judged occurrence by occurrence.
@@ -141,14 +147,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = materialize(hits.join(enough.drop("windows"), ["doc_id", "item_id", "reading"]).drop("w"), "hits")
     key = ["doc_id", "item_id", "reading", "kind", "occurrence"]
     taken = materialize(_occurrences(hits), "occurrences")
-    full = taken.groupBy(*key, "item_windows").agg(F.count_distinct("item_at").alias("n")).where(100 * F.col("n") >= PERCENT * F.col("item_windows")).select(*key)
+    full = taken.groupBy(*key, "item_windows").agg(F.count_distinct("item_at").alias("n"))
+    full = full.where(F.when(F.col("kind") == "run", F.col("n") > RUN - WINDOW).otherwise(100 * F.col("n") >= PERCENT * F.col("item_windows"))).select(*key, "n")
 
     # Slot values side by side, occurrence by occurrence.
-    slots = taken.join(full, key).select(*key, "item_at", F.posexplode(F.arrays_zip("i", "d")).alias("j", "z"))
+    slots = taken.join(full.drop("n"), key).select(*key, "item_at", F.posexplode(F.arrays_zip("i", "d")).alias("j", "z"))
     slots = slots.select(*key, (F.col("item_at") + F.col("j")).alias("place"), "z.i", "z.d").where(F.col("i").rlike(f"^[{NUM}-{NAME}]") & F.col("d").isNotNull()).distinct()
-    each = slots.groupBy(*key, "i").agg(F.count_distinct("place").alias("places"), F.count_distinct("d").alias("values"), F.max((F.col("i") != F.col("d")).cast("int")).alias("other"))
-    verdict = each.groupBy(*key).agg(F.avg(F.when(F.col("places") > 1, (F.col("values") == 1).cast("double"))).alias("consistent"), F.max("other").alias("other"))
+    each = slots.groupBy(*key, "i").agg(F.count_distinct("place").alias("places"), F.count_distinct("d").alias("values"), F.max((F.col("i") != F.col("d")).cast("int")).alias("other"), F.count_if(F.col("i") != F.col("d")).alias("changed"))
+    verdict = each.groupBy(*key).agg(F.avg(F.when(F.col("places") > 1, (F.col("values") == 1).cast("double"))).alias("consistent"), F.max("other").alias("other"), F.sum("changed").alias("changed"))
     verdict = full.join(verdict, key, "left").where(F.coalesce("consistent", F.lit(1.0)) >= CONSISTENT)
+    verdict = verdict.where((F.col("kind") != "run") | (F.col("n") + (WINDOW - 1) - F.coalesce("changed", F.lit(0)) >= RUN))
     verdict = verdict.groupBy("doc_id", "item_id", "reading").agg(F.min(F.coalesce("other", F.lit(0))).alias("other"))
 
     # Of two readings the better covered one speaks.
