@@ -2,8 +2,10 @@
 
 Documents of equal text are linked. Every document starts in a shard given by a
 hash of its id; in each round the linked documents move towards the shard where
-most of their neighbours are, as far as quotas allow; at last the documents
-without links fill every shard up to its quota. The law kept is ``rows``: shard
+most of their neighbours are, as far as quotas allow, until none can move. That
+ends: a round moves a group's cells only into its largest open cell, so the sum of
+the squared cell sizes grows with every round. At last the documents without
+links fill every shard up to its quota. The law kept is ``rows``: shard
 sizes are at most one document apart.
 
 Copies in one shard are interchangeable, so a round does not work on documents
@@ -22,6 +24,8 @@ output column are replaced.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,10 +102,10 @@ def _evicted(cells: DataFrame, shards: int, quota: list[int], load: list[int]) -
     return materialize(cells.unionByName(change).groupBy("g", "shard").agg(F.sum("n").alias("n")).where("n > 0"), "cells")
 
 
-def shard_documents(docs: DataFrame, shards: int = 40, rounds: int = 4) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 40, rounds: int | None = None) -> DataFrame:
     """docs with size, text_crc32, law, shard, slot and grown_shard for every row.
 
-    docs needs doc_id and text; its other columns are kept.
+    docs needs doc_id and text; its other columns are kept. rounds bounds the rounds; None lets them run to rest.
     """
     # Input columns go under numbers, so that none clashes and Catalyst can drop those that no one reads.
     kept = [c for c in docs.columns if c.lower() not in {"size", "text_crc32", "law", "shard", "slot", "grown_shard"}]
@@ -119,7 +123,7 @@ def shard_documents(docs: DataFrame, shards: int = 40, rounds: int = 4) -> DataF
     quota = [total // shards + (j < total % shards) for j in range(shards)]
 
     cells = materialize(starts.where("members > 1").groupBy("g", "shard").agg(F.sum("n").alias("n")), "cells")
-    for _ in range(rounds):
+    for _ in itertools.count() if rounds is None else range(rounds):
         moved = _moved(cells, shards, quota, _loads(cells, shards))
         if moved is None:
             break
