@@ -4,7 +4,8 @@ A text's words near a template's rarer words are aligned with the template:
 words that occur once in both are anchors, the longest increasing run of them is
 kept, and the gaps between anchors (and the equal words next to them) are aligned
 the same way until nothing is unique. Coverage is the share of the template's
-words that found a partner; 80 % or more is a finding. A text may hold several
+words that found a partner; 80 % or more is a finding if the words that
+name the license, its version and variant are among them and none of another is. A text may hold several
 licenses and several copies of one; of findings that overlap (templates that are
 alike) the best covered stays, then the longest, then the first.
 
@@ -49,11 +50,31 @@ TEMPLATES = {
     "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "unlicense": "This is free and unencumbered software released into the public domain.",
+    "bsd": "Released under the BSD License.",
+    "boost-grant": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license",
+    "boost-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "gpl-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "lgpl-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "agpl-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "agpl-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+    "epl-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    "cc0-1.0": "This work is licensed under the Creative Commons CC0 1.0 Universal License.",
+    "cc-by-4.0-short": "Licensed under CC BY 4.0.",
+    "cc-by-sa-4.0-short": "Licensed under CC BY-SA 4.0.",
 }
+_CC = "nc nd sa noncommercial noderivatives noderivs sharealike"
+#: Words of a template that a finding must hold, and words that must not stand among its others: they name another license.
+MARKS = {
+    "apache-2.0": ("apache 2", ""), "apache-2.0-header": ("2", ""), "mit": ("mit", ""), "bsd": ("bsd", ""), "mit-grant": ("", "organization"), "boost-grant": ("organization", ""), "boost-1.0": ("boost 1", ""),
+    "gpl-2.0": ("gnu general public 2", "lesser library affero"), "gpl-3.0": ("gnu general public 3", "lesser library affero"), "lgpl-3.0": ("gnu lesser public 3", "affero"), "agpl-3.0": ("gnu affero public 3", "lesser"),
+    "gpl-header": ("gnu general public", "lesser affero"), "lgpl-header": ("gnu lesser public", "affero"), "agpl-header": ("gnu affero public", "lesser"), "mpl-2.0": ("mozilla 2", ""), "epl-2.0": ("eclipse 2", ""),
+    "cc0-1.0": ("cc0 1", ""), "cc-by-nc-4.0": ("cc by nc 4", "nd sa"), "cc-by-4.0": ("attribution 4", _CC), "cc-by-sa-4.0": ("sharealike 4", "nc nd noncommercial noderivatives"), "cc-by-4.0-short": ("cc by 4", _CC), "cc-by-sa-4.0-short": ("cc by sa 4", "nc nd"),
+}
 
 
 def words(text: str) -> list[tuple[str, int, int]]:
-    return [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text)]
+    """(word, start, end); a whole version is the same with and without its .0."""
+    return [(w[:-2] if w.endswith(".0") and w[:-2].isdigit() else w, a, b) for w, a, b in ((m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text))]
 
 
 def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -109,6 +130,7 @@ class Templates:
             key = sorted(set(t) - _COMMON, key=lambda w: (-len(w), w)) or sorted(set(t))
             spare = int((1 - MIN_COVERAGE) * len(t) + 1e-9)
             self.rows.append((name, t, frozenset(key), self._triggers(t, key, spare)))
+        self.marks = {name: [frozenset(x.split()) for x in MARKS[name]] for name, text in templates.items() if name in MARKS and text == TEMPLATES.get(name)}
 
     @staticmethod
     def _triggers(t: list[str], key: list[str], spare: int) -> list[str]:
@@ -151,9 +173,9 @@ class Templates:
                 kept.append(f)
         return sorted(kept, key=lambda f: f[2])
 
-    @staticmethod
-    def _aligned(name: str, t: list[str], ws: list[tuple[str, int, int]], first: int, last: int) -> list[tuple[str, float, int, int]]:
+    def _aligned(self, name: str, t: list[str], ws: list[tuple[str, int, int]], first: int, last: int) -> list[tuple[str, float, int, int]]:
         """Findings of one template among ws[first..last] and its surroundings; long runs are taken in steps."""
+        must, foreign = self.marks.get(name, (frozenset(), frozenset()))
         out, n, lo, plain = [], len(t), max(0, first - len(t)), [w for w, _, _ in ws]
         spare = int((1 - MIN_COVERAGE) * n + 1e-9)
         while lo <= last:
@@ -162,7 +184,9 @@ class Templates:
             spans += [(i, min(len(ws), i + n + spare + 4)) for i in range(lo, min(len(ws), lo + n)) if plain[i] in t[: spare + 1]]
             for x, y in spans:
                 pairs = patience(t, plain[x:y])
-                if len(pairs) >= MIN_COVERAGE * n:
+                held = {y for _, y in pairs}
+                named = len(pairs) >= MIN_COVERAGE * n and must <= {t[i] for i, _ in pairs}
+                if named and not any(plain[x + j] in foreign for j in range(pairs[0][1], pairs[-1][1]) if j not in held):
                     a, b = x + pairs[0][1], x + pairs[-1][1]
                     out.append((name, len(pairs) / n, ws[a][1], ws[b][2]))
                     lo = b + 1
