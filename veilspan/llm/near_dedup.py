@@ -238,6 +238,8 @@ def _led(pairs: DataFrame, things: DataFrame, run: Callable) -> DataFrame:
     limit = hot_limit(pairs.count())
     salts = materialize(pairs.groupBy("a").agg(F.count("*").alias("pairs")).where(F.col("pairs") > limit).select("a", F.ceil(F.col("pairs") / limit).cast("int").alias("salts")), "salts")
     salted = pairs.join(F.broadcast(salts), "a", "left")
+    # These joins are by shuffle at every size: a broadcast of pairs would only hide, on small tables, what large ones cost.
+    things = things.hint("merge")
     members = salted.select("a", F.coalesce(F.pmod(F.xxhash64("b"), "salts"), F.lit(0)).alias("salt"), F.col("b").alias("node")).join(things, "node")
     leads = pairs.select("a").distinct().join(F.broadcast(salts), "a", "left")
     leads = leads.select(F.col("a").alias("node"), F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("salts", F.lit(1)).cast("long") - 1)).alias("salt")).join(things, "node")
@@ -249,7 +251,7 @@ def _texts(docs: DataFrame, nodes: DataFrame, reps: DataFrame) -> DataFrame:
     """(node, n, data) with the texts of nodes, one row for each."""
     need = materialize(nodes.join(reps.select("node", "n", "rep", "mark"), "node"), "need")
     rows = docs.select(F.col("doc_id").cast("long").alias("rep"), _mark(F.col("text")).alias("mark"), F.col("text").cast("string").alias("data"))
-    found = materialize(rows.join(need, ["rep", "mark"]).select("node", "n", "data"), "texts")
+    found = materialize(rows.join(need.hint("merge"), ["rep", "mark"]).select("node", "n", "data"), "texts")
     # Repeated rows of an id come more than once; as a rule there are none, and no text is sorted.
     return found if found.count() == need.count() else materialize(found.groupBy("node", "n").agg(F.any_value("data").alias("data")), "texts")
 
@@ -332,7 +334,7 @@ def _left_over(docs: DataFrame, reps: DataFrame, buckets: DataFrame, labels: Dat
     parts = left.groupBy("key", "component").agg(F.count("*").alias("part"))
     shape = parts.groupBy("key").agg(F.sum("part").alias("members"), F.max(F.struct("part", "component")).alias("top"), F.count("*").alias("components")).where("components > 1")
     open_ = materialize(left.join(shape.select("key", "members", F.col("top.component").alias("most")), "key"), "open")
-    member = open_.join(reps.select("node", "n", "bytes", "regs", "bands"), "node")
+    member = open_.join(reps.select("node", "n", "bytes", "regs", "bands").hint("merge"), "node")
     weight = member.groupBy("key").agg(F.sum("bytes").alias("weight"))
     member = member.join(weight, "key").withColumn("blocks", F.ceil(F.greatest(F.col("members") / BLOCK, F.col("weight") / BLOCK_BYTES)).cast("int"))
     member = materialize(member.withColumn("mine", F.pmod(F.xxhash64("node"), "blocks").cast("int")), "members")
@@ -344,7 +346,7 @@ def _left_over(docs: DataFrame, reps: DataFrame, buckets: DataFrame, labels: Dat
     pairs = materialize(pairs.mapInArrow(_admitted(percent / 100), "key long, x int, y int, a array<long>, b array<long>, component_a array<long>, component_b array<long>"), "admitted")
     nodes = pairs.select("key", "x", "y", F.explode(F.array_distinct(F.concat("a", "b"))).alias("node"))
     texts = _texts(docs, nodes.select("node").distinct(), reps)
-    held = nodes.join(texts, "node").groupBy("key", "x", "y").agg(F.collect_list(F.struct("node", "data")).alias("texts"))
+    held = nodes.join(texts.hint("merge"), "node").groupBy("key", "x", "y").agg(F.collect_list(F.struct("node", "data")).alias("texts"))
     return materialize(pairs.join(held, ["key", "x", "y"]).mapInArrow(_forest(k, percent), "a long, b long").distinct(), "links")
 
 
@@ -363,7 +365,7 @@ def _components(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
     band = reps.select("node", F.explode("bands").alias("key"))
     shared = band.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    buckets = materialize(band.join(shared, "key"), "buckets")
+    buckets = materialize(band.join(shared.hint("merge"), "key"), "buckets")
     centre = buckets.groupBy("node").agg(F.sum("members").alias("weight"))
     buckets = buckets.join(centre, "node")
     leaders = buckets.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("lead")).select("key", F.col("lead.node").alias("lead"))
