@@ -28,9 +28,8 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilspan.llm.common import fold, materialize
@@ -42,16 +41,38 @@ MAX_LABELLED = 20_000
 MAX_TERMS = 2_000
 MIN_LOG_ODDS = 3.0
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_EDGE = re.compile(r"^[\W_]+|[\W_]+$")
+_SPACE = re.compile(r"[\x20\x09-\x0D]")
 _REPORTING = frozenset("said says wrote writes called calls quote quoted quotes word words term terms dit mot sagte wort dijo palabra".split())
 _OPEN, _CLOSE = "\"“«„‘", "\"”»“’"
 #: Words on either side that the context window spans.
 CONTEXT = 6
+#: Words of clean documents within the edits of a term that are remembered, the most used first.
+MAX_INNOCENT = 200_000
+#: Characters of a text that are split into words at once, and of the words that are remembered between texts.
+PIECE, REMEMBERED = 1 << 20, 64
 
 
 def bare(word: str) -> str:
     """A word in lower case without the signs around it."""
-    return _EDGE.sub("", word.lower())
+    low = word.lower()
+    a, b = 0, len(low)
+    while a < b and not low[a].isalnum():
+        a += 1
+    while b > a and not low[b - 1].isalnum():
+        b -= 1
+    return low[a:b]
+
+
+def _pieces(text: str) -> Iterator[tuple[list[str], bool]]:
+    """The words of a text piece by piece, and whether a piece is the last."""
+    at, n = 0, len(text)
+    while n - at > PIECE:
+        m = _SPACE.search(text, at + PIECE)
+        if not m:
+            break
+        yield _WORD.findall(text, at, m.start()), False
+        at = m.start()
+    yield _WORD.findall(text, at), True
 
 
 def allowed(term: str) -> int:
@@ -136,17 +157,28 @@ class Lexicon:
 
     def hits(self, text: str, clean: set[str], known: dict[str, int]) -> list[tuple[int, bool]]:
         """(kind, quoted) of every hit. clean and known remember words between calls."""
-        words = _WORD.findall(text)
-        for w in set(words) - clean:
-            if w not in known:
-                k = self.kind(w)
+        out: list[tuple[int, bool]] = []
+        words: list[str] = []
+        first = 0
+        for part, last in _pieces(text):
+            words += part
+            kinds = {}
+            for w in set(words) - clean:
+                k = known[w] if w in known else self.kind(w)
                 if k:
-                    known[w] = k
-                else:
-                    clean.add(w)
-        if not known or known.keys().isdisjoint(words):
-            return []
-        return [(known[w], quoted(words, i)) for i, w in enumerate(words) if w in known]
+                    kinds[w] = k
+                if len(w) <= REMEMBERED:
+                    if k:
+                        known[w] = k
+                    else:
+                        clean.add(w)
+            # The last words of a piece wait for the context that follows them.
+            stop = len(words) if last else max(first, len(words) - CONTEXT)
+            if kinds:
+                out += [(kinds[words[i]], quoted(words, i)) for i in range(first, stop) if words[i] in kinds]
+            back = max(0, stop - CONTEXT)
+            words, first = words[back:], stop - back
+        return out
 
 
 def quoted(words: list[str], at: int) -> bool:
@@ -163,25 +195,29 @@ def features(hits: list[tuple[int, bool]]) -> list[float]:
     return [1 + math.log(n[k]) if n[k] else 0.0 for k in (1, 2, 3, 4)]
 
 
-def _scanner(lexicon: Lexicon):
-    """Replaces the last column, the text, by the counts of its hits."""
+HITS = "struct<exact:double,stem:double,near:double,quoted:double>"
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hits(model):
+    """A function of texts: the features of their hits, by the lexicon in a broadcast model."""
+
+    @F.arrow_udf(HITS)
+    def found(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        lexicon = model.value.lexicon
         clean: set[str] = set()
         known: dict[str, int] = {}
-        for batch in batches:
+        for part in parts:
             rows = []
-            for text in batch.column(batch.num_columns - 1):
+            for text in part:
                 if len(clean) > 300_000:
                     clean.clear()
                 if len(known) > 100_000:
                     known.clear()
                 rows.append(features(lexicon.hits(text.as_py() or "", clean, known)))
             x = np.array(rows, np.float64).reshape(-1, 4)
-            kept = batch.columns[:-1]
-            yield pa.RecordBatch.from_arrays([*kept, *(pa.array(x[:, j]) for j in range(4))], names=[*batch.schema.names[:-1], "exact", "stem", "near", "quoted"])
+            yield pa.StructArray.from_arrays([pa.array(x[:, j]) for j in range(4)], ["exact", "stem", "near", "quoted"])
 
-    return run
+    return found
 
 
 def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,9 +287,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     counts = source.select("text", "toxic").mapInArrow(_words_of, "word string, pos long, neg long").where("word <> ''")
     counts = materialize(counts.groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")), "words")
     odds = F.log((F.col("pos") + 0.5) / (p + 1)) - F.log((F.col("neg") + 0.5) / (n + 1))
-    least = max(8, p // 100)
+    # A term must be in more toxic documents than any of so many words would be by chance alone.
+    chance = math.log(10 * max(1, counts.count())) / math.log((p + n) / p)
+    least = max(4, math.ceil(chance), p // 100)
     prefix = counts.select("word", "pos", "neg", F.explode(F.sequence(F.lit(3), F.least(F.length("word") - 1, F.lit(8)))).alias("k")).where("length(word) > 3").withColumn("stem", F.substring("word", F.lit(1), F.col("k")))
-    prefix = prefix.groupBy("stem").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.count("*").alias("words")).where((F.col("words") >= 8) & (F.col("pos") >= 2 * least) & (odds >= MIN_LOG_ODDS))
+    prefix = prefix.groupBy("stem").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.count("*").alias("words")).where((F.col("words") >= 8) & (F.col("pos") >= 2 * max(8, least)) & (odds >= MIN_LOG_ODDS))
     stems = [r["stem"] for r in prefix.orderBy(odds.desc(), "stem").limit(MAX_TERMS).collect()]
     stems = [s for s in stems if not any(s[:k] in stems for k in range(3, len(s)))]
     single = counts.where((F.col("pos") >= least) & (odds >= MIN_LOG_ODDS) & (F.length("word") >= 3) & (F.length("word") <= 40))
@@ -262,30 +300,33 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
 
     lexicon = Lexicon(terms, stems, [])
 
-    @F.pandas_udf("boolean")
-    def near(words: pd.Series) -> pd.Series:
-        return words.map(lexicon.near)
+    @F.arrow_udf("boolean")
+    def near(words: pa.Array) -> pa.Array:
+        return pa.array([lexicon.near(w) for w in words.to_pylist()], pa.bool_())
 
     # Words that clean documents use, within the edits of a few thousand terms.
-    used = counts.where((F.col("neg") > 0) & (odds < 1.0) & (F.length("word") <= 42)).where(near("word")).select("word")
-    lexicon = Lexicon(terms, stems, [r["word"] for r in used.limit(200_000).collect()])
+    used = counts.where((F.col("neg") > 0) & (odds < 1.0) & (F.length("word") <= 42)).where(near("word"))
+    lexicon = Lexicon(terms, stems, [r["word"] for r in used.orderBy(F.desc("neg"), "word").limit(MAX_INNOCENT).collect()])
 
-    rest = sample.where(part == 4).select(F.col("toxic").alias("toxic"), "text").mapInArrow(_scanner(lexicon), "toxic int, exact double, stem double, near double, quoted double").toArrow()
+    model = Model(lexicon, _PRIOR)
+    rest = sample.where(part == 4).select("toxic", _hits(spark.sparkContext.broadcast(model))(F.col("text")).alias("h")).select("toxic", "h.*").toArrow()
     x, y = (np.column_stack([rest[c].to_numpy() for c in names]) for names in (["exact", "stem", "near", "quoted"], ["toxic"]))
-    weights = _fit(x, (y[:, 0] == 1).astype(float)) if rest.num_rows else _PRIOR
-    return Model(lexicon, weights)
+    model.weights = _fit(x, (y[:, 0] == 1).astype(float)) if rest.num_rows else _PRIOR
+    return model
 
 
-def score(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
-    """keep, score and predicted for every row."""
+def _score(docs: DataFrame, model: Model) -> Column:
+    """The score of each text of docs; the lexicon is broadcast (MAX_TERMS and MAX_INNOCENT words at most)."""
     ship(docs.sparkSession)
-    found = docs.select(*keep, F.col("text").cast("string").alias("text"))
-    schema = ", ".join(f"`{c}` {t}" for c, t in found.dtypes if c != "text")
-    found = found.mapInArrow(_scanner(model.lexicon), schema + ", exact double, stem double, near double, quoted double")
     w = [float(x) for x in model.weights]
-    z = F.lit(w[0]) + F.col("exact") * w[1] + F.col("stem") * w[2] + F.col("near") * w[3] + F.col("quoted") * w[4]
-    s = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
-    return found.select(*keep, s.alias("score"), (s >= 0.5).cast("int").alias("predicted"))
+    h = _hits(docs.sparkSession.sparkContext.broadcast(model))(F.col("text").cast("string"))
+    # Written once in the plan: each mention would be another pass through Python.
+    return F.get(F.transform(F.array(h), lambda h: F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(w[0]) + h["exact"] * w[1] + h["stem"] * w[2] + h["near"] * w[3] + h["quoted"] * w[4])))), F.lit(0))
+
+
+def score(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
+    """keep, score and predicted for every row."""
+    return docs.select(*keep, _score(docs, model).alias("score")).select(*keep, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -296,17 +337,4 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs without the rows that are predicted toxic."""
-    lexicon_model = learn(docs, labels)
-    lexicon, w = lexicon_model.lexicon, lexicon_model.weights
-    ship(docs.sparkSession)
-
-    @F.pandas_udf("boolean")
-    def toxic(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        clean: set[str] = set()
-        known: dict[str, int] = {}
-        for part in texts:
-            if len(clean) > 300_000:
-                clean.clear()
-            yield part.map(lambda t: float(w[0] + np.dot(w[1:], features(lexicon.hits(t or "", clean, known)))) >= 0)
-
-    return docs.where(~toxic(F.col("text").cast("string")))
+    return docs.where(_score(docs, learn(docs, labels)) < 0.5)
