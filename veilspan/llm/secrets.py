@@ -2,15 +2,18 @@ r"""Secret scans: rules, and a character convolutional network over every candid
 
 Three rules find assignments, access keys and long hex runs; their spans always
 stay. A candidate is any run of 16 or more token characters with a letter and a
-digit that no rule covers. A small network (character embedding, one convolution
-over the candidate and one over its context, maxima, a logistic unit), written
-in numpy, scores every candidate with the text around it.
-
-It is trained on labelled findings. By default these are the findings and the
-other candidates of a bounded sample of the documents, labelled by the rules, and
-generated secrets and look-alikes of common formats in contexts without a
-keyword; `labelled` replaces the sample. A held-out part calibrates the scores
-(Platt) and sets the threshold: the most precise of those that keep the wanted recall.
+digit that is left when the rules' spans are taken out. A small network
+(character embedding, one convolution over the candidate and one over its
+context, maxima, a logistic unit), written in numpy, scores every candidate with
+the text around it; a long one is scored in overlapping windows, and its highest
+score counts.
+
+It is trained on labelled findings. By default these are the rules' findings in
+a bounded sample of the documents, and generated secrets and look-alikes of
+common formats in contexts without a keyword. Other candidates of the documents
+have no label and are not learned from, as real secrets are among them;
+`labelled` replaces the sample. A held-out part calibrates the scores (Platt)
+and sets the threshold: the most precise of those that keep the wanted recall.
 
 Defined cases: a null or empty text has no spans (its digest is that of the empty
 string). Spans count code points, ends exclusive. Repeated rows get equal rows. A
@@ -38,7 +41,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{16,}")
 KINDS = ("assign", "access", "hex", "network")
-#: Documents whose findings and candidates are learned from, at most: those with the smallest hash.
+#: Documents whose findings are learned from, and findings, at most: those with the smallest hash.
 MAX_DOCUMENTS = 2_000
 MAX_EXAMPLES = 3_000
 RECALL = 0.95
@@ -60,26 +63,41 @@ def rule_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """(start, end) of the token runs with a letter and a digit that overlap no taken span."""
-    out = []
+    """(start, end) of the token runs with a letter and a digit, in what sorted taken spans leave of the text."""
+    out, at, i, reach = [], 0, 0, 0
     for m in CANDIDATE.finditer(text):
-        s = m[0]
-        if not s.isalpha() and any(c.isdigit() for c in s) and any(c.isalpha() for c in s):
-            start, end = m.span()
-            end -= len(s) - len(s.rstrip(".-~"))
-            if end - start >= 16 and not any(a < end and start < b for a, _, b in taken):
-                out.append((start, end))
+        start, stop = m.span()
+        # Both lists are in order, so each span is passed once; reach is the furthest end of those passed.
+        while i < len(taken) and taken[i][0] <= start:
+            reach = max(reach, taken[i][2])
+            i += 1
+        at = max(start, reach)
+        while at < stop:
+            end = taken[i][0] if i < len(taken) and taken[i][0] < stop else stop
+            piece = text[at:end].rstrip(".-~") if end > at else ""
+            if len(piece) >= 16 and any(c.isdigit() for c in piece) and any(c.isalpha() for c in piece):
+                out.append((at, at + len(piece)))
+            if end == stop:
+                break
+            reach = max(reach, taken[i][2])
+            i += 1
+            at = max(at, reach)
     return out
 
 
-def encode(text: str, start: int, end: int) -> list[int]:
-    """Fixed-length codes: context, the candidate (its middle left out if long), context."""
-    body = text[start:end]
-    if len(body) > _BODY:
-        body = body[: _BODY // 2] + body[-_BODY // 2 :]
-    code = lambda s: [_ALPHABET.get(c, 1) for c in s]
-    before, after = code(text[max(0, start - _BEFORE) : start]), code(text[end : end + _AFTER])
-    return [0] * (_BEFORE - len(before)) + before + code(body) + [0] * (_BODY - len(body)) + after + [0] * (_AFTER - len(after))
+def _code(s: str) -> list[int]:
+    return [_ALPHABET.get(c, 1) for c in s]
+
+
+def encode(text: str, start: int, end: int) -> list[list[int]]:
+    """Fixed-length codes: context, a window of the candidate, context; one for each window of a long candidate."""
+    out = []
+    for a in range(start, max(start + 1, end - _BODY // 2), _BODY // 2):
+        b = min(end, a + _BODY)
+        body = _code(text[a:b])
+        before, after = _code(text[max(0, a - _BEFORE) : a]), _code(text[b : b + _AFTER])
+        out.append([0] * (_BEFORE - len(before)) + before + body + [0] * (_BODY - len(body)) + after + [0] * (_AFTER - len(after)))
+    return out
 
 
 class Network:
@@ -191,53 +209,67 @@ def generated(n: int, seed: int = 3) -> list[tuple[str, int, int, int]]:
 
 
 def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Codes and labels of the rule findings and other candidates of a sample."""
+    """Codes of the rule findings of a sample."""
     for batch in batches:
-        codes, labels = [], []
+        codes = []
         for text in batch["text"].to_pylist():
-            rules = rule_spans(text or "")
-            for start, _, end in rules[:50]:
+            for start, _, end in rule_spans(text or ""):
                 value = CANDIDATE.search(text, start, end)
                 if value:
-                    codes.append(bytes(encode(text, *value.span())))
-                    labels.append(1)
-            for start, end in candidates(text or "", rules)[:50]:
-                codes.append(bytes(encode(text, start, end)))
-                labels.append(0)
-        yield pa.RecordBatch.from_arrays([pa.array(codes, pa.binary()), pa.array(labels, pa.int32())], names=["x", "y"])
+                    codes += map(bytes, encode(text, *value.span()))
+                if len(codes) > 10_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(codes, pa.binary())], names=["x"])
+                    codes = []
+        yield pa.RecordBatch.from_arrays([pa.array(codes, pa.binary())], names=["x"])
 
 
 def learn(docs: DataFrame, labelled: DataFrame | None = None) -> Network:
     """A network fitted to labelled findings; labelled has text, start, end and label."""
     ship(docs.sparkSession)
-    examples = [(bytes(encode(t, a, b)), y) for t, a, b, y in generated(MAX_EXAMPLES)]
+    examples = [(bytes(x), y) for t, a, b, y in generated(MAX_EXAMPLES) for x in encode(t, a, b)]
     if labelled is None:
         ids = docs.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id").limit(MAX_DOCUMENTS)
         ids = materialize(ids, "ids")  # MAX_DOCUMENTS rows at most
         rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id")
-        rows = rows.mapInArrow(_found, "x binary, y int").orderBy("y", F.xxhash64("x"), "x")
-        for label in (0, 1):
-            examples += [(bytes(r["x"]), r["y"]) for r in rows.where(F.col("y") == label).limit(MAX_EXAMPLES).collect()]
+        rows = rows.mapInArrow(_found, "x binary").distinct().orderBy(F.xxhash64("x"), "x").limit(MAX_EXAMPLES)
+        examples += [(bytes(r["x"]), 1) for r in rows.collect()]
     else:
-        examples += [(bytes(encode(r["text"], r["start"], r["end"])), r["label"]) for r in labelled.limit(MAX_EXAMPLES).collect()]
+        rows = labelled.select("text", "start", "end", "label").distinct().orderBy(F.xxhash64("text", "start", "end"), "text", "start", "end", "label")
+        for r in rows.limit(MAX_EXAMPLES).toLocalIterator():
+            examples += [(bytes(x), r["label"]) for x in encode(r["text"], r["start"], r["end"])]
     order = random.Random(5).sample(range(len(examples)), len(examples))
     network = Network()
     network.fit(np.array([list(examples[i][0]) for i in order]), np.array([examples[i][1] for i in order], float))
     return network
 
 
+def _pieces(texts: list[str], rules: list[list[tuple[int, int, int]]]) -> Iterator[tuple[list[tuple[int, int, int]], list[list[int]], list[int]]]:
+    """Candidates (text, start, end), their windows and the candidate of each window, some thousand windows at once."""
+    held, codes, own = [], [], []
+    for i, t in enumerate(texts):
+        for a, b in candidates(t, rules[i]):
+            windows = encode(t, a, b)
+            own += [len(held)] * len(windows)
+            held.append((i, a, b))
+            codes += windows
+            if len(codes) >= 4096:
+                yield held, codes, own
+                held, codes, own = [], [], []
+    if held:
+        yield held, codes, own
+
+
 def _scanner(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = model.value
         for batch in batches:
             texts = [t.as_py() or "" for t in batch["text"]]
             rules = [rule_spans(t) for t in texts]
-            open_ = [(i, a, b) for i, t in enumerate(texts) for a, b in candidates(t, rules[i])]
             extra: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-            for at in range(0, len(open_), 4096):
-                part = open_[at : at + 4096]
-                scores = network.score(np.array([encode(texts[i], a, b) for i, a, b in part]))
-                for (i, a, b), s in zip(part, scores.tolist(), strict=True):
+            for held, codes, own in _pieces(texts, rules):
+                best = np.zeros(len(held))
+                np.maximum.at(best, own, network.score(np.array(codes)))
+                for (i, a, b), s in zip(held, best.tolist(), strict=True):
                     if s >= network.threshold:
                         extra[i].append((a, 3, b))
             say = lambda spans: ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
