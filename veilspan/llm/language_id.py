@@ -3,11 +3,13 @@ r"""Language identification by nearest centroid over TF-IDF character n-grams.
 A text's lower-cased character 1- to 3-grams (letters; everything else reads as
 one space) are hashed to 4,096 dimensions. Document frequencies are counted over
 all documents that may be learned from; the vectors of a bounded sample of them
-are clustered by spherical k-means, some centroids for each language. A text
+are clustered by spherical k-means, some centroids for each language. Every
+language that occurs gets its share of the sample, however many rows another one
+or a repeated row has. A text
 gets the language of the centroid with the highest cosine. It is rejected when
 that cosine is below what all but a small share of the centroid's own training
 texts reach; the operator reports this in `rejected` and keeps the nearest
-language.
+language. Of equal cosines the first language by code point wins.
 
 Defined cases: a null text or one without letters is `und` with score 0. When
 nothing can be learned, every text is `und`. Documents with a null lang are
@@ -21,15 +23,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veilspan.llm import textnp
-from veilspan.llm.common import fold
+from veilspan.llm.common import fold, materialize
 from veilspan.shipping import ship
 
 DIMENSIONS = 4096
-#: Texts whose vectors are clustered, at most: those with the smallest hash, of each language in turn.
+#: Texts whose vectors are clustered, at most: of each language an equal share, those with the smallest hash; one of each language at least.
 MAX_SAMPLE = 4_000
 CLUSTERS = 4
 #: The share of a centroid's own training texts that its threshold may reject.
@@ -81,7 +83,11 @@ def _letters(points: np.ndarray) -> np.ndarray:
 
 def vectors(counted: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """Unit TF-IDF vectors with logarithmic term frequencies."""
-    x = np.log1p(counted) * idf
+    return unit(np.log1p(counted), idf)
+
+
+def unit(logs: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    x = logs * idf
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
@@ -107,8 +113,8 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b in _pieces(batch["text"]):
             x, has = counts(batch["text"].slice(a, b - a))
-            rows = [np.minimum(r, 65535).astype(np.uint16).tobytes() for r in x[has]]
-            yield pa.RecordBatch.from_arrays([batch["lang"].slice(a, b - a).filter(pa.array(has)), pa.array(rows, pa.binary())], names=["lang", "x"])
+            rows = [r.tobytes() for r in np.log1p(x[has]).astype(np.float16)]
+            yield pa.RecordBatch.from_arrays([*(batch[c].slice(a, b - a).filter(pa.array(has)) for c in ("lang", "h")), pa.array(rows, pa.binary())], names=["lang", "h", "x"])
 
 
 def _kmeans(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -139,18 +145,19 @@ def learn(docs: DataFrame, clusters: int = CLUSTERS) -> Centroids | None:
     idf = np.zeros(DIMENSIONS, np.float32)
     for d, x in n.items():
         idf[d] = np.log((1 + total) / (1 + x)) + 1
-    # Of each language the rows with the smallest hash; a range of hashes gives ranks without one sort per language.
-    ids = docs.select("doc_id", "lang", F.xxhash64("doc_id", F.lit(5)).alias("h"))
-    shares = {r["lang"]: r["n"] for r in ids.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_SAMPLE).collect()}
-    if not shares:
-        return None
-    each = max(1, MAX_SAMPLE // len(shares))
-    bounds = docs.sparkSession.createDataFrame([(lang, -(2.0**63) + 2.0**64 * min(1.0, each / count)) for lang, count in shares.items()], "lang string, below double")
-    sample = docs.withColumn("h", F.xxhash64("doc_id", F.lit(5))).join(F.broadcast(bounds), "lang").where(F.col("h") <= F.col("below"))
-    found = sample.select("lang", "text").mapInArrow(_sampled, "lang string, x binary").orderBy("lang", F.xxhash64("x")).limit(2 * MAX_SAMPLE).toArrow()
+    # Of each language the different texts with the smallest hash: a bound on the hash leaves few, and those are ranked.
+    rows = docs.select("lang", "text", F.xxhash64("text", F.lit(5)).alias("h"))
+    shares = materialize(rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")), "shares")  # a row for each language
+    each = max(1, MAX_SAMPLE // max(1, shares.count()))
+    bounds = shares.select("lang", (F.lit(-(2.0**63)) + F.least(F.lit(1.0), F.lit(2.0 * each + 20) / F.col("n")) * 2.0**64).alias("below"))
+    low = rows.join(bounds, "lang").where(F.col("h") <= F.col("below"))
+    ranked = low.select("lang", "h").distinct().withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("rank") <= each)
+    ranked = materialize(ranked.select("lang", "h"), "sampled")  # MAX_SAMPLE rows, or one for each language
+    found = rows.join(F.broadcast(ranked), ["lang", "h"]).select("lang", "h", "text").mapInArrow(_sampled, "lang string, h long, x binary")
+    found = found.groupBy("lang", "h").agg(F.any_value("x").alias("x")).orderBy("lang", "h").toArrow()
     if not found.num_rows:
         return None
-    x = vectors(np.frombuffer(b"".join(found["x"].to_pylist()), np.uint16).reshape(found.num_rows, -1).astype(np.float32), idf)
+    x = unit(np.frombuffer(b"".join(found["x"].to_pylist()), np.float16).reshape(found.num_rows, -1).astype(np.float32), idf)
     lang, centroids, langs, least = np.array(found["lang"].to_pylist()), [], [], []
     for name in sorted(set(lang)):
         c, own = _kmeans(x[lang == name], clusters)
