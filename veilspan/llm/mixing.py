@@ -6,7 +6,8 @@ target / source size times. Within a source the documents lie in a fixed order
 offset, and a document is emitted once for every integer that its step crosses.
 Because all documents of a source expect equally many copies, the prefix sum is
 rank times that number, and ranks come from counts of small cells (source, size
-class, salt): no source is sorted in one task.
+class, salt): no source is sorted in one task. A cell of more than CELL documents
+is cut into finer ones, by size and ranges of the hash, which keep its order.
 
 Defined cases: a null text has size 0; a null source is a source of its own,
 last in order; a source without words has target 0 and is not taken. Repeated
@@ -26,6 +27,8 @@ from veilspan.llm.common import materialize, n_words
 MOST = 3
 #: Cells of one size class of a source; the order in a source is by cell, then size, then id.
 SALTS = 16
+#: Documents that one task ranks; cells of more are cut.
+CELL = 200_000
 
 
 def _hash(x: Column) -> Column:
@@ -68,10 +71,20 @@ def copies(docs: DataFrame) -> DataFrame:
     cells = materialize(rows.groupBy("key", "source", "step", "salt").agg(F.count("*").alias("n"), F.sum("size").alias("words")), "cells")
     known = targets(cells.groupBy("source").agg(F.sum("words").alias("source_size"))).withColumn("key", F.coalesce("source", F.lit("\0null"))).drop("source")
     before = F.coalesce(F.sum("n").over(Window.partitionBy("key").orderBy("step", "salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cells = materialize(cells.withColumn("before", before).join(known, "key").select("key", "step", "salt", "before", "source_size", "target", "start"), "cells")
-
-    rank = F.row_number().over(Window.partitionBy("key", "step", "salt").orderBy(F.col("size"), F.col("h"), own["doc_id"]))
-    out = rows.join(cells, ["key", "step", "salt"]).withColumn("k", (F.col("before") + rank).cast("double"))
+    cells = materialize(cells.withColumn("before", before).join(known, "key").select("key", "step", "salt", "n", "before", "source_size", "target", "start"), "cells")
+
+    by = ["key", "step", "salt"]
+    most = cells.agg(F.max("n")).first()[0] or 0
+    if most > CELL:
+        # Within a cell the order is by size, then hash: so cells of one size and one range of hashes continue it.
+        rows = rows.join(cells.select(*by, F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / CELL))).cast("int").alias("bits")), by)
+        rows = rows.withColumn("range", F.shiftright("h", F.lit(32) - F.col("bits"))).withColumn("exact", F.when(F.col("bits") > 0, F.col("size")).otherwise(0)).drop("bits")
+        fine = rows.groupBy(*by, "exact", "range").agg(F.count("*").alias("n"))
+        ahead = F.coalesce(F.sum("n").over(Window.partitionBy(*by).orderBy("exact", "range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        cells = materialize(fine.withColumn("ahead", ahead).drop("n").join(cells, by).withColumn("before", F.col("before") + F.col("ahead")).drop("ahead"), "fine")
+        by = [*by, "exact", "range"]
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.col("size"), F.col("h"), own["doc_id"]))
+    out = rows.join(cells, by).withColumn("k", (F.col("before") + rank).cast("double"))
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size").cast("double")).otherwise(F.lit(0.0))
     taken = F.floor(F.col("k") * each + F.col("start")) - F.floor((F.col("k") - 1) * each + F.col("start"))
     return out.select(*[F.col(f"in{i}").alias(c) for i, c in enumerate(kept)], "size", "source_size", "target", F.least(taken, F.lit(MOST)).cast("long").alias("copies"))
