@@ -13,7 +13,8 @@ but on cells (group, shard, number of documents). A group has at most one cell
 per shard, so a group of any size makes no hot key, and a cell may move in part.
 The flow between each pair of shards is settled on the driver from their matrix
 of demands (shards squared numbers); prefix sums over the cells then say which
-of them move. Documents are dealt to their group's cells by rank; ranks come
+of them move. They are taken in two levels, over sums of small buckets and inside
+each, so that no flow between two shards is sorted in one task. Documents are dealt to their group's cells by rank; ranks come
 from salted counts, so a hot group is numbered in many tasks.
 
 Defined cases: a null text has size 16, a null crc32 and is linked with nothing;
@@ -54,6 +55,16 @@ def _grant(demand: dict[tuple[int, int], int], load: list[int], quota: list[int]
                     excess -= cut
 
 
+def _before(cells: DataFrame, part: list[str], order: dict[str, bool], buckets: int) -> DataFrame:
+    """cells with before: the sum of n ahead of each row of its part, in the given order (True: falling), then by bucket and g."""
+    rows = cells.withColumn("bucket", F.pmod(F.xxhash64("g"), F.lit(buckets)).cast("int"))
+    by = [*part, *order, "bucket"]
+    ahead = Window.partitionBy(*part).orderBy(*[F.desc(c) if down else F.asc(c) for c, down in order.items()], "bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(*by).agg(F.sum("n").alias("ahead")).withColumn("ahead", F.coalesce(F.sum("ahead").over(ahead), F.lit(0)))
+    inside = F.sum("n").over(Window.partitionBy(*by).orderBy("g").rowsBetween(Window.unboundedPreceding, -1))
+    return rows.join(sums, by).withColumn("before", F.col("ahead") + F.coalesce(inside, F.lit(0))).drop("ahead", "bucket")
+
+
 def _loads(cells: DataFrame, shards: int) -> list[int]:
     load = [0] * shards
     for r in cells.groupBy("shard").agg(F.sum("n").alias("n")).collect():  # a row for each shard
@@ -61,7 +72,7 @@ def _loads(cells: DataFrame, shards: int) -> list[int]:
     return load
 
 
-def _moved(cells: DataFrame, shards: int, quota: list[int], load: list[int]) -> DataFrame | None:
+def _moved(cells: DataFrame, shards: int, quota: list[int], load: list[int], buckets: int) -> DataFrame | None:
     """One round: the cells after the moves, or None when nothing can move."""
     open_ = [j for j in range(shards) if load[j] < quota[j]]
     liked = cells.where(F.col("shard").isin(open_)).groupBy("g").agg(F.max(F.struct("n", F.xxhash64("g", "shard").alias("tie"), "shard")).alias("best"))
@@ -72,14 +83,13 @@ def _moved(cells: DataFrame, shards: int, quota: list[int], load: list[int]) ->
     if not flow:
         return None
     allowed = cells.sparkSession.createDataFrame([(s, t, x) for (s, t), x in flow.items()], "shard int, to int, flow long")
-    order = Window.partitionBy("shard", "to").orderBy(F.desc("pull"), "g").rowsBetween(Window.unboundedPreceding, -1)
-    go = wish.join(F.broadcast(allowed), ["shard", "to"]).withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
+    go = _before(wish.join(F.broadcast(allowed), ["shard", "to"]), ["shard", "to"], {"pull": True}, buckets)
     go = go.select("g", "shard", "to", F.least("n", F.greatest(F.lit(0), F.col("flow") - F.col("before"))).alias("go"))
     change = go.select("g", "shard", (-F.col("go")).alias("n")).unionByName(go.select("g", F.col("to").alias("shard"), F.col("go").alias("n")))
     return materialize(cells.unionByName(change).groupBy("g", "shard").agg(F.sum("n").alias("n")).where("n > 0"), "cells")
 
 
-def _evicted(cells: DataFrame, shards: int, quota: list[int], load: list[int]) -> DataFrame:
+def _evicted(cells: DataFrame, shards: int, quota: list[int], load: list[int], buckets: int) -> DataFrame:
     """Moves what a shard holds above its quota, smallest cells first, to shards with room."""
     surplus, spans, k = [max(0, x - q) for x, q in zip(load, quota, strict=True)], [], 0
     room = [max(0, q - x) for x, q in zip(load, quota, strict=True)]
@@ -95,8 +105,8 @@ def _evicted(cells: DataFrame, shards: int, quota: list[int], load: list[int]) -
     if not spans:
         return cells
     spans = cells.sparkSession.createDataFrame(spans, "shard int, to int, low long, high long")
-    order = Window.partitionBy("shard").orderBy("n", "g").rowsBetween(Window.unboundedPreceding, -1)
-    at = cells.where(F.col("shard").isin([s for s in range(shards) if surplus[s]])).withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
+    at = cells.where(F.col("shard").isin([s for s in range(shards) if surplus[s]])).withColumn("size", F.col("n"))
+    at = _before(at, ["shard"], {"size": False}, buckets)
     go = at.join(F.broadcast(spans), "shard").withColumn("go", F.least(F.col("before") + F.col("n"), F.col("high")) - F.greatest("before", "low")).where("go > 0")
     change = go.select("g", "shard", (-F.col("go")).alias("n")).unionByName(go.select("g", F.col("to").alias("shard"), F.col("go").alias("n")))
     return materialize(cells.unionByName(change).groupBy("g", "shard").agg(F.sum("n").alias("n")).where("n > 0"), "cells")
@@ -119,22 +129,24 @@ def shard_documents(docs: DataFrame, shards: int = 40, rounds: int | None = None
     salts, wide = max(16, total // 200_000), max(64, total // 50_000)
     rows = rows.withColumn("salt", F.pmod(F.col("h"), F.lit(salts)).cast("int"))
     starts = rows.groupBy("g", "salt", F.pmod(F.xxhash64("h"), F.lit(shards)).cast("int").alias("shard")).agg(F.count("*").alias("n"))
-    starts = materialize(starts.withColumn("members", F.sum("n").over(Window.partitionBy("g"))), "starts")
+    starts = materialize(starts, "starts")
+    groups = starts.groupBy("g").agg(F.sum("n").alias("members")).where("members > 1")
+    # A hot group's cells meet in one task only where their join is not by broadcast and Spark does not split it.
+    starts = materialize(starts.join(groups, "g", "left").withColumn("members", F.coalesce("members", F.lit(1))), "starts")
     quota = [total // shards + (j < total % shards) for j in range(shards)]
 
     cells = materialize(starts.where("members > 1").groupBy("g", "shard").agg(F.sum("n").alias("n")), "cells")
     for _ in itertools.count() if rounds is None else range(rounds):
-        moved = _moved(cells, shards, quota, _loads(cells, shards))
+        moved = _moved(cells, shards, quota, _loads(cells, shards), wide)
         if moved is None:
             break
         cells = moved
-    cells = _evicted(cells, shards, quota, _loads(cells, shards))
+    cells = _evicted(cells, shards, quota, _loads(cells, shards), wide)
     load = _loads(cells, shards)
 
     # Where each group's documents go, by their rank in the group.
-    base = F.sum("n").over(Window.partitionBy("shard").orderBy("g").rowsBetween(Window.unboundedPreceding, -1))
     first = F.sum("n").over(Window.partitionBy("g").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
-    places = cells.withColumn("base", F.coalesce(base, F.lit(0))).withColumn("first", F.coalesce(first, F.lit(0)))
+    places = _before(cells, ["shard"], {}, wide).withColumnRenamed("before", "base").withColumn("first", F.coalesce(first, F.lit(0)))
     places = places.groupBy("g").agg(F.collect_list(F.struct("first", (F.col("first") + F.col("n")).alias("end"), "shard", "base")).alias("places"))
 
     salted = starts.groupBy("g", "salt", "members").agg(F.sum("n").alias("n"))
