@@ -8,14 +8,19 @@ overflow an executor's stack.
 
 from __future__ import annotations
 
-# The patterns decide which spans are found.
+# A host's labels are taken possessively, up to each label that may end it, so that a chain of any length needs no stack.
+_ENDS = r"(?:internal|local|corp|svc|cluster|(?:us|eu|ap)-[a-z]+-\d)(?![\w-])"
+_LABELS = rf"(?:(?!{_ENDS})[a-z0-9][a-z0-9-]*+\.)*+"
+
+# The patterns of detection and validation decide which spans are found.
 SAFETY = {
     "email": r"(?U)\b[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}\b",
     "phone": r"(?U)(?<!\w)(?:\+?1[-.\s]?)?\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}(?!\w)",
     "ssn": r"(?U)(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
     "credit_card": r"(?U)(?<!\d)(?:\d{4}[- ]?){3}\d{4}(?!\d)",
-    "hostname": r"(?iU)(?<![\w@])(?:[a-z0-9][a-z0-9-]*\.){1,127}(?:internal|local|corp|svc|cluster|(?:us|eu|ap)-[a-z]+-\d)(?![\w-])",
+    "hostname": rf"(?iU)(?<![\w@])[a-z0-9][a-z0-9-]*+\.{_LABELS}{_ENDS}(?:\.{_LABELS}{_ENDS})*+",
 }
+# Fixed values.
 CUSTOM = {
     "internal_url": r"(?idU)https?://internal-[a-zA-Z0-9\-]+\.[a-zA-Z]{2,}(?:/.*)?",
     "jira_ticket": r"(?U)(?<![A-Za-z0-9-])[A-Z]{2,}-\d+\b",
@@ -24,8 +29,10 @@ CUSTOM = {
     "slack_channel": r"#[a-zA-Z0-9\-_]+",
     "docker_image": r"[a-zA-Z0-9]+/[a-zA-Z0-9\-_]+:[a-zA-Z0-9\-_.]+",
 }
+# Fixed values.
 SECRET_ASSIGNMENT = r"(?iU)\b(?:api[_-]?key|password|secret|token)\s*[:=]\s*[^\s,;]+"
 IPV4 = r"(?U)\b(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)\b"
+# Fixed values.
 CONTEXTUAL = {
     "employment_info": r"(?iU)(?:work(?:er|ing|ed)?|employ(?:ee|er|ment)|staff|colleague|team(?:\s+member)?|boss|manager|supervisor|director|CEO|CTO|founder|entrepreneur)\s+[a-zA-Z]+(?:\s+[a-zA-Z]+)*+",
     "salary_info": r"(?iU)(?:salary|wage|compensation|income|pay(?:\s+rate)?|rate per hour|hourly|annual|monthly)\s*[:\-]?\s*(?:\$[0-9,]+(?:\.[0-9]{2})?|[0-9,]+(?:\.[0-9]{2})?\s*dollars?)",
@@ -35,6 +42,7 @@ CONTEXTUAL = {
     "intellectual_property": r"(?iU)(?:source\s+code|algorithm|trade\s+secret|patent|copyright|proprietary|confidential\s+information)",
     "investigation_details": r"(?iU)(?:investigat(?:ing|ion)?|analysis|debugging|troubleshoot(?:ing)?|forensic|audit)\s+(?:found|discovered|revealed|identified|determined)\s+(?:that|this|the)",
 }
+# Fixed values.
 RESIDUAL = {
     "email_fragments": SAFETY["email"],
     "phone_fragments": r"(?U)\b(?:\+?1[-.\s]?)?\(?[0-9]{3}\)?[-.\s]?[0-9]{3}[-.\s]?[0-9]{4}\b",
@@ -45,6 +53,7 @@ RESIDUAL = {
     "internal_paths": r"(?U)(?<!\w)/[a-zA-Z0-9_.-]+(?:/[a-zA-Z0-9_.-]+)++",
     "customer_ids": r"(?iU)\b(?:cust|customer|user|account)_\d+\b",
 }
+# Fixed values.
 ADVERSARIAL = {
     "obfuscated_emails": r"(?U)\b[a-zA-Z0-9._%+-]+\s*@\s*[a-zA-Z0-9.-]+\s*\.\s*[a-zA-Z]{2,}\b",
     "spaced_phones": r"(?U)\b(?:\+?1\s*[-.\s]?\s*)?\(?\s*[0-9]{3}\s*\)?\s*[-.\s]?\s*[0-9]{3}\s*[-.\s]?\s*[0-9]{4}\b",
@@ -53,7 +62,9 @@ ADVERSARIAL = {
     "encoded_data": r"(?U)\b[A-Za-z0-9+/]{20,}={0,2}\b",
     "hex_patterns": r"(?U)\b[0-9a-fA-F]{8,}\b",
 }
+# Fixed values.
 EXCLUDED = (r"\[REDACTED_[A-Z_]+\]", r"Person_[a-f0-9]{8}", r"(?d)\(example:.*?\)", r"(?d)\[.*?\]", r"(?iU)(?:SEC|INC|JIRA|TICKET)-\d+")
+# Fixed values.
 STRUCTURE = {
     "json": r"(?s)\{.*\}",
     "xml": r"(?s)<[^>]+>.*</[^>]+>",

@@ -22,6 +22,34 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def held(value: Column) -> Column:
+    """value behind a condition that is always true and that the optimizer does not see through.
+
+    A filter on a computed column would otherwise be pushed down through every step
+    that made it, with a copy of all of them for each mention: planning would not end.
+    """
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
+#: Elements of an array that a fold works on at once, and code points of a text that are cut out at once.
+BLOCK, PIECE = 64, 4096
+
+
+def sums(values: Column) -> Column:
+    """Running sums of an array of integers, without the element itself: block by block, so that no fold copies a long array."""
+    last = lambda a: F.element_at(a, F.lit(-1))
+    run = lambda a: F.aggregate(a, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(last(acc) + x)))
+
+    def whole(v: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(v) - 1, F.lit(0)), F.lit(BLOCK))
+        return let(F.transform(starts, lambda k: run(F.slice(v, k + 1, F.lit(BLOCK)))), joined)
+
+    def joined(blocks: Column) -> Column:
+        return let(run(F.transform(blocks, last)), lambda base: F.flatten(F.transform(blocks, lambda b, k: F.transform(F.slice(b, F.lit(1), F.size(b) - 1), lambda x: x + F.get(base, k)))))
+
+    return let(values, whole)
+
+
 def find(text: Column, pattern: str) -> Column:
     """All matches of a pattern with their offsets, left to right.
 
@@ -29,16 +57,15 @@ def find(text: Column, pattern: str) -> Column:
     give the offsets. A text without a match, or null, costs one search and gives
     an empty array. The pattern must not match the empty string.
     """
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits)), hits, lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit")))
-    zero = F.struct(F.lit(0).alias("at"), none(HIT).alias("out"))
+    found = F.struct(F.transform(F.split(text, pattern, -1), lambda gap: F.length(gap)).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"))
 
-    def step(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + pair["gap"]
-        end = start + F.length(pair["hit"])
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), pair["hit"].alias("text")))).cast(HIT).alias("out"))
+    def placed(x: Column) -> Column:
+        steps = F.zip_with(F.slice(x["gaps"], F.lit(1), F.size(x["hits"])), x["hits"], lambda gap, hit: gap + F.length(hit))
+        pairs = F.zip_with(F.slice(x["gaps"], F.lit(1), F.size(x["hits"])), x["hits"], lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit")))
+        row = lambda before, p: F.struct((before + p["gap"]).alias("start"), (before + p["gap"] + F.length(p["hit"])).alias("end"), p["hit"].alias("text"))
+        return F.zip_with(sums(steps), pairs, row)
 
-    return F.when(text.rlike(pattern), F.aggregate(pairs, zero, step, lambda acc: acc["out"])).otherwise(none(HIT))
+    return F.when(text.rlike(pattern), let(found, placed)).otherwise(none(HIT)).cast(HIT)
 
 
 def typed(hits: Column, entity_type: str, confidence: float, method: str, category: str, action: str) -> Column:
@@ -52,8 +79,22 @@ def overlap(a: Column, b: Column) -> Column:
 
 
 def apart(new: Column, old: Column) -> Column:
-    """The new spans that overlap none of the old ones: an interval anti join within the row."""
-    return F.filter(new, lambda n: ~F.exists(old, lambda o: overlap(n, o)))
+    """The new spans that overlap none of the old ones: an interval anti join within the row.
+
+    A block of new spans is held only against the old ones between its first start
+    and its last end; new spans come from left to right.
+    """
+
+    def block(part: Column, old: Column) -> Column:
+        near = F.filter(old, lambda o: (o["start"] < F.array_max(F.transform(part, lambda n: n["end"]))) & (o["end"] > F.get(part, F.lit(0))["start"]))
+        return let(near, lambda near: F.filter(part, lambda n: ~F.exists(near, lambda o: overlap(n, o))))
+
+    def blocks(x: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(x["new"]) - 1, F.lit(BLOCK))
+        return F.flatten(F.transform(starts, lambda k: let(F.slice(x["new"], k + 1, F.lit(BLOCK)), lambda part: block(part, x["old"]))))
+
+    few = lambda x: F.filter(x["new"], lambda n: ~F.exists(x["old"], lambda o: overlap(n, o)))
+    return let(F.struct(new.alias("new"), old.alias("old")), lambda x: F.when(F.size(x["new"]) * F.size(x["old"]) <= BLOCK * BLOCK, few(x)).otherwise(blocks(x)))
 
 
 def resolve(spans: Column) -> Column:
@@ -73,14 +114,24 @@ def resolve(spans: Column) -> Column:
 
 
 def splice(text: Column, edits: Column) -> Column:
-    """text with each edit (start, end, replacement) put in; edits are disjoint and in order."""
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    """text with each edit (start, end, replacement) put in; edits are disjoint and in order.
+
+    The text is cut into pieces once; a gap is then taken from the pieces it lies in,
+    not counted off from the start of the text.
+    """
+
+    def cut(x: Column, start: Column, end: Column) -> Column:
+        first = F.floor(start / PIECE).cast("int")
+        near = F.array_join(F.slice(x["pieces"], first + 1, F.greatest(F.ceil(end / PIECE).cast("int") - first, F.lit(0))), "")
+        return F.substring(near, start - first * PIECE + 1, end - start)
 
-    def step(acc: Column, e: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, e["start"] - acc["at"])
-        return F.struct(e["end"].alias("at"), F.concat(acc["parts"], F.array(gap, e["replacement"])).alias("parts"))
+    def joined(x: Column) -> Column:
+        before = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(x["edits"], i - 1)["end"])
+        parts = F.transform(x["edits"], lambda e, i: F.concat(cut(x, before(i), e["start"]), e["replacement"]))
+        return F.concat(F.array_join(parts, ""), cut(x, F.element_at(x["edits"], F.lit(-1))["end"], x["n"]))
 
-    return F.when(F.size(edits) > 0, F.aggregate(edits, zero, step, lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.length(text) - acc["at"])))).otherwise(text)
+    whole = F.struct(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)).alias("pieces"), edits.alias("edits"), F.length(text).alias("n"))
+    return F.when(F.size(edits) > 0, let(whole, joined)).otherwise(text)
 
 
 def snippet(text: Column, start: Column, end: Column, size: int) -> Column:
