@@ -124,10 +124,15 @@ def rewrite(df: DataFrame, text: str = "text", decisions: str = "decisions", out
     return df.withColumn(out, done).drop(spliced)
 
 
-def audit_rewrite(df: DataFrame, text: str = "text", spans: str = "spans", least: float = 0.8, out: str = "audit_text") -> DataFrame:
-    """df with the detector's own rewrite: sure spans that the policy does not retain, with numbered pseudonyms."""
+def audit_rewrite(df: DataFrame, text: str = "text", spans: str = "spans", least: float = 0.8, out: str = "audit_text", known: dict[str, str] | None = None) -> DataFrame:
+    """df with the detector's own rewrite: sure spans that the policy does not retain, with numbered pseudonyms.
+
+    known is a loaded map of pseudonyms (sources.sinks.load_mapping); it goes before the computed ones.
+    """
     kept = F.filter(F.col(f"`{spans}`"), lambda s: (s["confidence"] >= F.lit(float(least))) & (s["action"] != "RETAIN"))
-    new = lambda s: F.when(s["action"] == "PSEUDONYMIZE", R.numbered_pseudonym(s["entity_type"], s["text"])).otherwise(F.concat(F.lit("[REDACTED_"), F.upper(s["entity_type"]), F.lit("]")))
+    given = F.create_map(*[F.lit(x) for kv in known.items() for x in kv]) if known else None
+    made = lambda s: R.numbered_pseudonym(s["entity_type"], s["text"]) if given is None else F.coalesce(F.try_element_at(given, s["text"]), R.numbered_pseudonym(s["entity_type"], s["text"]))
+    new = lambda s: F.when(s["action"] == "PSEUDONYMIZE", made(s)).otherwise(F.concat(F.lit("[REDACTED_"), F.upper(s["entity_type"]), F.lit("]")))
     edits = F.array_sort(F.transform(kept, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), new(s).alias("replacement"))))
     return df.withColumn(out, S.splice(F.col(f"`{text}`"), edits))
 
@@ -138,6 +143,16 @@ def pseudonym_map(decisions: Column) -> Column:
     return F.map_from_entries(F.array_distinct(F.transform(made, lambda d: F.struct(d["pseudonym_key"], d["replacement"]))))
 
 
+def detected_map(spans: Column) -> Column:
+    """text -> numbered pseudonym of every detected span that the policy pseudonymizes; of equal texts the first span's kind counts."""
+    made = F.transform(F.filter(spans, lambda s: s["action"] == "PSEUDONYMIZE"), lambda s: F.struct(s["text"].alias("k"), R.numbered_pseudonym(s["entity_type"], s["text"]).alias("v")))
+
+    def first(made: Column) -> Column:
+        return S.let(F.transform(made, lambda m: m["k"]), lambda keys: F.filter(made, lambda m, i: F.array_position(keys, m["k"]) == i + 1))
+
+    return F.map_from_entries(S.let(made, first))
+
+
 def arbitration_stats(d: Column) -> Column:
     count = lambda test: F.size(F.filter(d, test))
     return F.struct(

@@ -39,6 +39,21 @@ def needing_review(results: DataFrame) -> DataFrame:
     return results.where("human_review.needs_review").select("doc_id", "human_review.quality_score", "human_review.reason")
 
 
+def per_document(results: DataFrame) -> DataFrame:
+    """A line for each document: its score, issues and whether it failed or should be seen."""
+    error = F.col("error") if "error" in results.columns else F.lit(None).cast("string")
+    return results.select(
+        "doc_id", error.alias("error"), F.col("quality_metrics.overall_quality_score").alias("quality_score"), F.col("text_reduction_percentage").alias("text_reduction"), F.size("issues").alias("issues"),
+        F.coalesce(F.col("human_review.needs_review"), F.lit(False)).alias("needs_review"),
+    )
+
+
+def arbitration_totals(results: DataFrame, *by: str) -> DataFrame:
+    """Arbitration counters of all rows added up."""
+    names = ("total_entities_processed", "redactions_applied", "pseudonymizations_applied", "retentions_applied", "conflicts_resolved", "force_rules_applied", "context_adjustments", "allowlist_overrides")
+    return results.groupBy(*by).agg(*[F.coalesce(F.sum(f"arbitration.{n}"), F.lit(0)).alias(n) for n in names])
+
+
 def file_statistics(spark: SparkSession, path: str) -> DataFrame:
     """Per collected text file: lines and bytes."""
     files = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
