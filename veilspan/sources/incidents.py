@@ -17,13 +17,21 @@ SCHEMA = (
 ID_FIELDS = ("id", "incident_id", "incidentId", "incident-id", "ticket_id", "ticketId")
 
 
-def read_incidents(spark: SparkSession, path: str, permissive: bool = False) -> DataFrame:
-    """Records of .jsonl or .json files. Bad lines fail the read; permissive reads JSON lines only and drops bad ones."""
+def read_incidents(spark: SparkSession, path: str, permissive: bool = False, errors: bool = False) -> DataFrame:
+    """Records of .jsonl or .json files. Bad lines fail the read; permissive reads JSON lines only and drops bad ones.
+
+    With errors, a bad line stays as a row without fields whose `error` says what is
+    wrong, so that it is counted as a failed document (`error` is null elsewhere).
+    """
     if not path.rstrip("/").lower().endswith((".json", ".jsonl")):
         raise ValueError(f"not a .json or .jsonl path: {path}")
-    if permissive:
+    if permissive or errors:
         row = F.from_json("value", SCHEMA + ", _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
-        return spark.read.text(path).where("trim(value) <> ''").select(row.alias("r")).where("r._corrupt is null").select("r.*").drop("_corrupt")
+        rows = spark.read.text(path).where("trim(value) <> ''").select(row.alias("r"))
+        if not errors:
+            return rows.where("r._corrupt is null").select("r.*").drop("_corrupt")
+        said = F.when(F.col("r._corrupt").isNotNull(), F.concat(F.lit("not a JSON record: "), F.substring("r._corrupt", 1, 80)))
+        return rows.select("r.*", said.alias("error")).drop("_corrupt")
     return spark.read.schema(SCHEMA).option("multiLine", path.lower().endswith(".json")).option("mode", "FAILFAST").json(path)
 
 
@@ -68,8 +76,36 @@ def brief_text(df: DataFrame) -> Column:
 
 
 def documents(df: DataFrame, timeline: bool = False) -> DataFrame:
-    """doc_id and text of incident records, ready for the redactor."""
-    return df.select(incident_id(df).alias("doc_id"), incident_text(df, timeline).alias("text"))
+    """doc_id and text of incident records (and error, if they have it), ready for the redactor."""
+    bad = ["error"] if "error" in df.columns else []
+    fields = df.drop(*bad)
+    return df.select(incident_id(fields).alias("doc_id"), incident_text(fields, timeline).alias("text"), *bad)
+
+
+_TEAM = "struct<id:string,name:string>"
+RETROSPECTIVES = (
+    f"id string, title string, summary string, incident struct<id:string,title:string,summary:string>, lessonsLearned struct<template:string,categories:array<string>,questions:array<string>>, "
+    f"learnedLessons string, followUps string, createdAt string, updatedAt string, team {_TEAM}, authors array<{_PERSON}>"
+)
+
+
+def parsed(pages: DataFrame, schema: str = SCHEMA) -> DataFrame:
+    """Records of rows (id, raw) that a platform's pages gave, by a schema; fields that a record lacks are null."""
+    return pages.select(F.from_json("raw", schema).alias("r")).select("r.*")
+
+
+def retrospective_text(df: DataFrame) -> Column:
+    """Title, summary, the incident it looks back on, lessons, follow-ups and authors as lines."""
+    heads = [_one(c.capitalize(), F.col(c), F.col(c).isNotNull()) for c in ("title", "summary")]
+    heads += [_one("Incident", F.col("incident.title"), F.col("incident.title").isNotNull()), _one("Lessons", F.col("learnedLessons"), F.col("learnedLessons").isNotNull()), _one("Follow-ups", F.col("followUps"), F.col("followUps").isNotNull())]
+    authors = _list("Authors:", F.col("authors"), lambda p: F.array(F.when(p["email"].isNotNull(), F.concat(F.lit("- "), F.coalesce(p["name"], F.lit("Unknown")), F.lit(" ("), p["email"], F.lit(")")))))
+    return _joined(*heads, authors)
+
+
+def retrospectives(pages: DataFrame) -> DataFrame:
+    """doc_id and text of retrospectives from a platform's pages."""
+    df = parsed(pages, RETROSPECTIVES)
+    return df.select(F.col("id").alias("doc_id"), retrospective_text(df).alias("text"))
 
 
 def with_tasks(incidents: DataFrame, tasks: DataFrame) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from veilspan.functions import spans as S
+from veilspan.operators import summary
 
 SCHEMA_VERSION = "1.1"
 
@@ -18,7 +20,7 @@ def save_results(results: DataFrame, path: str, mode: str = "append") -> None:
 
 def save_audit(results: DataFrame, path: str, mode: str = "append") -> None:
     """Stage tables with originals, one folder each: spans, findings, judgements, decisions, issues. Keep them private."""
-    for stage in ("spans", "candidates", "findings", "judgements", "decisions", "issues"):
+    for stage in ("spans", "candidates", "contextual", "findings", "judgements", "decisions", "issues"):
         if stage in results.columns:
             S.rows(results, stage, "doc_id").write.mode(mode).parquet(f"{path}/{stage}")
 
@@ -37,3 +39,32 @@ def save_reports(results: DataFrame, path: str, mode: str = "append") -> None:
 def save_records(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Rows as JSON lines."""
     rows.write.mode(mode).json(path)
+
+
+def save_summary(results: DataFrame, path: str, *by: str, mode: str = "overwrite") -> None:
+    """The corpus summary, and beside it as rows what would grow with the corpus: documents to review, and a line for each document."""
+    summary.corpus_summary(results, *by).select(F.lit(SCHEMA_VERSION).alias("schema_version"), "*").coalesce(1).write.mode(mode).json(f"{path}/summary")
+    summary.needing_review(results).write.mode(mode).json(f"{path}/needing_review")
+    summary.per_document(results).write.mode(mode).json(f"{path}/documents")
+
+
+def save_mapping(results: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Every text that a detector pseudonymizes with its pseudonym, once. It holds originals: keep it private."""
+    rows = results.select(F.explode_outer("detected_map").alias("original", "pseudonym")).where("original is not null")
+    rows.groupBy("original").agg(F.min("pseudonym").alias("pseudonym")).write.mode(mode).json(path)
+
+
+def load_mapping(spark: SparkSession, path: str) -> DataFrame:
+    """original and pseudonym of a saved map; a missing one is empty."""
+    schema = "original string, pseudonym string"
+    try:
+        return spark.read.schema(schema).json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def apply_mapping(spans: DataFrame, mapping: DataFrame, text: str = "text") -> DataFrame:
+    """Span rows with the pseudonym of their text; the planner broadcasts a small map and shuffles for a large one."""
+    return spans.join(mapping.withColumnRenamed("original", text), text, "left")

@@ -2,8 +2,9 @@
 
 Incidents are a log; the newest entry of an external id is the incident, so an
 upsert appends and never rewrites. Its id is a hash of the external id, so loading
-a record again does not orphan its results. Results are appended; a clean-up
-writes a new generation of them and readers take the newest whole one.
+a record again does not orphan its results. Results are appended too, and so are
+the ids of those that a clean-up takes away: nothing is ever rewritten, so a
+result that arrives during a clean-up is not lost.
 """
 
 from __future__ import annotations
@@ -11,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from veilspan.plans import pipeline
+from veilspan.sources import incidents
+
 INCIDENTS = "id string, external_id string, title string, summary string, description string, status string, severity string, created_at string, updated_at string, resolved_at string, raw_data string, loaded_at timestamp"
 RESULTS = "id string, incident_id string, original_text string, processed_text string, quality_metrics string, processing_stats string, pseudonym_mapping string, recommendations string, processed_at timestamp"
 
@@ -46,14 +50,6 @@ class Store:
         self.spark, self.path = spark, path.rstrip("/")
         self._fs = spark._jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def _generations(self) -> list[int]:
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/results")
-        if not self._fs.exists(root):
-            return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(root)]
-        done = [int(n[4:]) for n in names if n.startswith("gen=") and self._fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/results/{n}/_SUCCESS"))]
-        return sorted(done)
-
     def _read(self, path: str, schema: str) -> DataFrame:
         if not self._fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(path)):
             return self.spark.createDataFrame([], schema)
@@ -70,15 +66,13 @@ class Store:
     def store_results(self, results: DataFrame) -> None:
         names = [c.split(" ")[0] for c in RESULTS.split(", ")]
         have = {c: F.col(c) if c in results.columns else F.lit(None).cast("string") for c in names} | {"id": F.expr("uuid()"), "processed_at": F.current_timestamp()}
-        gen = (self._generations() or [0])[-1]
-        results.select(*[have[c].alias(c) for c in names]).write.mode("append").parquet(f"{self.path}/results/gen={gen}")
+        results.select(*[have[c].alias(c) for c in names]).write.mode("append").parquet(f"{self.path}/results")
 
     def incidents(self) -> DataFrame:
         return latest(self._read(f"{self.path}/incidents", INCIDENTS), "external_id", F.desc("loaded_at"), F.desc("raw_data"))
 
     def results(self) -> DataFrame:
-        gen = (self._generations() or [0])[-1]
-        return self._read(f"{self.path}/results/gen={gen}", RESULTS)
+        return self._read(f"{self.path}/results", RESULTS).join(self._read(f"{self.path}/removed", "id string"), "id", "left_anti")
 
     def get_by_external_id(self, external_id: str) -> DataFrame:
         return self.incidents().where(F.col("external_id") == external_id)
@@ -98,11 +92,32 @@ class Store:
         return unprocessed(self.incidents(), self.results().withColumnRenamed("incident_id", "ref"), "id", "ref")
 
     def cleanup_orphaned_results(self) -> int:
-        """Writes a generation without results of unknown incidents; returns how many went."""
+        """Takes away results of unknown incidents; returns how many went."""
         old = self.results()
-        before, gen = old.count(), (self._generations() or [0])[-1] + 1
-        without_orphans(old, self.incidents(), "incident_id", "id").write.mode("overwrite").parquet(f"{self.path}/results/gen={gen}")
-        return before - self.results().count()
+        gone = old.join(without_orphans(old, self.incidents(), "incident_id", "id").select("id"), "id", "left_anti").select("id")
+        name = f"{self.path}/removed"
+        before = self._read(name, "id string").count()
+        gone.write.mode("append").parquet(name)
+        return self._read(name, "id string").count() - before
+
+    def process(self, limit: int | None = None, **options) -> int:
+        """Process the incidents without a result, newest first, and store what comes out; returns how many.
+
+        options are those of plans.pipeline.process. An incident whose stored record
+        cannot be read is stored as a result without text and with its error.
+        """
+        todo = self.unprocessed()
+        if limit is not None:
+            todo = todo.orderBy(F.desc("loaded_at"), "id").limit(limit)
+        n = todo.count()
+        record = F.from_json("raw_data", incidents.SCHEMA + ", _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+        rows = todo.select("id", record.alias("r")).select(F.col("id").alias("store_id"), "r.*")
+        bad = F.when(F.col("_corrupt").isNotNull(), F.lit("the stored record is not JSON"))
+        docs = rows.select(F.col("store_id").alias("doc_id"), incidents.brief_text(rows).alias("text"), bad.alias("error"))
+        out = pipeline.process(docs, **options)
+        stats = F.struct("arbitration", "judge_stats", "checks", "text_reduction_percentage", "error")
+        self.store_results(out.select(F.col("doc_id").alias("incident_id"), F.col("text").alias("original_text"), "processed_text", F.to_json("quality_metrics").alias("quality_metrics"), F.to_json(stats).alias("processing_stats"), F.to_json("pseudonym_map").alias("pseudonym_mapping"), F.to_json("recommendations").alias("recommendations")))
+        return n
 
     def statistics(self) -> DataFrame:
         quality = F.get_json_object("quality_metrics", "$.overall_quality_score").cast("double")
