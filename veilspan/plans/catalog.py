@@ -6,7 +6,6 @@ hold those against literal cases and brute force.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +16,10 @@ from veilspan.functions import pseudonyms as R
 from veilspan.functions import spans as S
 from veilspan.operators import decide, detect, judge, redactor, review, summary, validate
 from veilspan.operators.policy import Allowlist
+from veilspan.plans import oracles as O
 from veilspan.plans import pipeline
-from veilspan.sources import store
+from veilspan.plans.oracles import hits_sql, spans_sql, sql_pattern
+from veilspan.sources import incidents, sinks, store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,56 +43,23 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return pipeline.spread(table(spark, sf_dir, "documents").select("doc_id", *columns, "text"))
 
 
-def sql_pattern(pattern: str) -> str:
-    """A pattern for SQL: without the flags that only Java knows, as the body of a string literal."""
-    m = re.match(r"\(\?([a-zA-Z]+)\)", pattern)
-    if m:
-        kept = "".join(c for c in m[1] if c in "ims")
-        pattern = (f"(?{kept})" if kept else "") + pattern[m.end() :]
-    return pattern.replace("++", "+").replace("*+", "*").replace("'", "''")
-
-
-def hits_sql(pattern: str, text: str = "text") -> str:
-    return f"coalesce(regexp_extract_all({text}, '{sql_pattern(pattern)}'), [])"
-
-
-def spans_sql(pattern: str, more: str = "") -> str:
-    """Rows (doc_id, start, end, text) of all matches; offsets are running lengths of gaps and matches."""
-    p = sql_pattern(pattern)
-    return f"""
-WITH m AS (SELECT doc_id, text AS whole, regexp_extract_all(text, '{p}') AS hits, string_split_regex(text, '{p}') AS gaps FROM documents),
-k AS (SELECT *, unnest(range(1, len(hits) + 1)) AS k FROM m),
-s AS (
-  SELECT doc_id, whole, hits[k] AS text,
-    (list_sum(list_transform(gaps[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:k - 1], lambda x: length(x))), 0))::INTEGER AS start
-  FROM k
-)
-SELECT doc_id, start, (start + length(text))::INTEGER AS "end", text{more} FROM s"""
-
-
 def span_rows(docs: DataFrame, pattern: str) -> DataFrame:
     return S.rows(docs, S.find(F.col("text"), pattern), "doc_id")
 
 
-# RE2 has no lookaround. Next to a digit, "no word sign" is a word boundary; next to a bracket or a plus it is its absence.
-_PHONE = r"(?:\B\+1[-.\s]?\(?|\b1[-.\s]?\(?|\B\(|\b)\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}\b"
-# "No digit on either side", where no letter or underscore stands directly beside a card number.
-_CARD = r"\b(?:\d{4}[- ]?){3}\d{4}\b"
-
-
 @query(spans_sql(P.SAFETY["email"]))
 def email_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E-mail addresses with their offsets."""
     return span_rows(table(spark, sf_dir, "documents"), P.SAFETY["email"])
 
 
-@query(spans_sql(_PHONE))
+@query(spans_sql(O.PLAIN["phone"]))
 def phone_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Telephone numbers with their offsets."""
     return span_rows(table(spark, sf_dir, "documents"), P.SAFETY["phone"])
 
 
-@query(spans_sql(_CARD))
+@query(spans_sql(O.PLAIN["credit_card"]))
 def card_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Card numbers with their offsets."""
     return span_rows(table(spark, sf_dir, "documents"), P.SAFETY["credit_card"])
@@ -122,31 +90,15 @@ def email_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.rows(detect.candidates(docs), "candidates", "doc_id").select("doc_id", "start", "end", "text", "context", "span_id")
 
 
-_WINDOW = "lower(substr(whole, greatest(0, start - 100) + 1, least(length(whole), start + length(text) + 100) - greatest(0, start - 100)))"
-
-
-def _any_sql(words) -> str:
-    return "(" + " OR ".join(f"contains(w, '{x}')" for x in words) + ")"
-
-
-_SCORE = "0.5::DOUBLE" + "".join(f" + CASE WHEN {_any_sql(w)} THEN 0.2::DOUBLE ELSE 0.0::DOUBLE END" for w in detect.KEYWORDS.values())
-_SCORE += f" + CASE WHEN {_any_sql(detect.PRIVACY_WORDS)} THEN 0.15::DOUBLE ELSE 0.0::DOUBLE END + CASE WHEN {_any_sql(detect.INCIDENT_WORDS)} THEN 0.1::DOUBLE ELSE 0.0::DOUBLE END"
-_SCORE += " + CASE WHEN length(text) > 20 THEN 0.1::DOUBLE WHEN length(text) < 5 THEN -0.1::DOUBLE ELSE 0.0::DOUBLE END"
-
-
-@query(f"""SELECT doc_id, start, text, least(1.0::DOUBLE, greatest(0.0::DOUBLE, {_SCORE})) AS confidence FROM ({spans_sql(P.CONTEXTUAL["employment_info"], f", {_WINDOW} AS w")})""")
+@query(f"""SELECT doc_id, start, text, {O.SCORE} AS confidence FROM ({spans_sql(P.CONTEXTUAL["employment_info"], f", {O.WINDOW} AS w")})""")
 def contextual_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mentions of employment, scored by the words around them."""
     found = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("whole"), F.explode_outer(S.find(F.col("text"), P.CONTEXTUAL["employment_info"])).alias("s")).where("s is not null")
     return found.select("doc_id", "s.start", "s.text", detect.contextual_confidence(F.col("whole"), F.col("s.start"), F.col("s.text")).alias("confidence"))
 
 
-_RESIDUAL_SQL = {n: hits_sql(p) for n, p in P.RESIDUAL.items()} | {"internal_paths": r"coalesce(regexp_extract_all(text, '(?:^|\W)(/[a-zA-Z0-9_.-]+(?:/[a-zA-Z0-9_.-]+)+)', 1), [])"}
-_EXCLUDED_SQL = " OR ".join(f"regexp_matches(x, '{sql_pattern(p)}')" for p in P.EXCLUDED)
-
-
 def _kept_sql(hits: str) -> str:
-    return f"len(list_filter({hits}, lambda x: NOT ({_EXCLUDED_SQL})))::INTEGER"
+    return f"len(list_filter({hits}, lambda x: NOT ({O.EXCLUDED})))::INTEGER"
 
 
 def residual_counts(docs: DataFrame) -> DataFrame:
@@ -154,7 +106,7 @@ def residual_counts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", *counts)
 
 
-_RESIDUAL_COUNTS = "SELECT doc_id, " + ", ".join(f"{_kept_sql(h)} AS {n}" for n, h in _RESIDUAL_SQL.items()) + " FROM documents"
+_RESIDUAL_COUNTS = "SELECT doc_id, " + ", ".join(f"{_kept_sql(h)} AS {n}" for n, h in O.RESIDUAL.items()) + " FROM documents"
 
 
 @query(_RESIDUAL_COUNTS)
@@ -163,38 +115,14 @@ def residual_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residual_counts(documents(spark, sf_dir))
 
 
-_SUSPICIOUS = {
-    "obfuscated_emails": "contains(x, '@') AND contains(x, '.') AND length(x) > 10",
-    "spaced_phones": r"length(regexp_replace(x, '\D', '', 'g')) >= 10",
-    "partial_ssns": r"length(regexp_replace(x, '\D', '', 'g')) = 9",
-    "credit_card_variants": r"length(regexp_replace(x, '\D', '', 'g')) >= 13",
-    "encoded_data": "length(x) > 20 AND NOT regexp_matches(x, '[^A-Za-z0-9]')",
-    "hex_patterns": "length(x) >= 8",
-}
-_MARKED = "contains(x, '[REDACTED') OR contains(x, 'Person_') OR contains(x, 'server-')"
-
-
-@query("SELECT doc_id, " + ", ".join(f"len(list_filter({hits_sql(p)}, lambda x: {_SUSPICIOUS[n]} AND NOT ({_MARKED})))::INTEGER AS {n}" for n, p in P.ADVERSARIAL.items()) + " FROM documents")
+@query("SELECT doc_id, " + ", ".join(f"len(list_filter({hits_sql(p)}, lambda x: {O.SUSPICIOUS[n]} AND NOT ({O.MARKED})))::INTEGER AS {n}" for n, p in P.ADVERSARIAL.items()) + " FROM documents")
 def adversarial_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document, what each scan for disguised identifiers suspects."""
     counts = [F.size(F.filter(S.find(F.col("text"), p), lambda h: validate.suspicious(n, h["text"]))).alias(n) for n, p in P.ADVERSARIAL.items()]
     return documents(spark, sf_dir).select("doc_id", *counts)
 
 
-_COUNT = "(length({t}) - length(replace({t}, '{c}', '')))"
-
-
-def _count_sql(c: str, t: str = "text") -> str:
-    return _COUNT.format(t=t, c=c)
-
-
-_BARE = f"regexp_replace(text, '{sql_pattern(P.MARKER)}', '', 'g')"
-
-
-@query(f"""
-SELECT page_id, ({_count_sql(chr(10), 'html')} + 1)::INTEGER AS lines, {", ".join(f"len({hits_sql(p, 'html')})::INTEGER AS {n}" for n, p in P.STRUCTURE.items())},
-  ({_count_sql('[', _BARE.replace('text', 'html'))} + {_count_sql(']', _BARE.replace('text', 'html'))})::INTEGER AS brackets, ({_count_sql('"', 'html')} + {_count_sql("''", 'html')})::INTEGER AS quotes
-FROM pages""")
+@query("SELECT page_id, " + ", ".join(f"({c})::INTEGER AS {n}" for n, c in O.structure_sql("html", bare=True).items()) + " FROM pages")
 def structure_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per page, the counts that a rewrite must not change."""
     return table(spark, sf_dir, "pages").select("page_id", *[c.cast("int").alias(n) for n, c in validate.structure_counts(F.col("html")).items()])
@@ -353,49 +281,189 @@ def conversation_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("conv_id", F.array_join(F.transform("rows", lambda r: r["line"]), "\n").alias("text"), F.size("rows").cast("long").alias("turns"))
 
 
-@query()
+@query(O.redacted())
 def redact_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document redacted."""
-    out = pipeline.redact(documents(spark, sf_dir))
-    return out.select("doc_id", F.col("processed_text").alias("redacted_text"), F.size("spans").alias("n_entities"))
+    return redacted(documents(spark, sf_dir))
+
+
+def redacted(docs: DataFrame) -> DataFrame:
+    return pipeline.redact(docs).select("doc_id", F.col("processed_text").alias("redacted_text"), F.size("spans").alias("n_entities"))
 
 
-@query()
+@query(O.detected())
 def deterministic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All spans that the rules find, overlaps resolved."""
-    found = detect.detect(documents(spark, sf_dir))
-    return S.rows(found, "spans", "doc_id")
+    return S.rows(detect.detect(documents(spark, sf_dir)), "spans", "doc_id")
 
 
-@query()
+def decisions(docs: DataFrame) -> DataFrame:
+    rows = S.rows(decide.decide(detect.contextual(detect.detect(docs))), "decisions", "doc_id")
+    return rows.withColumn("sources", F.array_join("sources", ",")).drop("judge_action")
+
+
+@query(O.arbitrated())
 def arbitration_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is done with every deterministic and contextual span."""
-    docs = detect.contextual(detect.detect(documents(spark, sf_dir)))
-    return S.rows(decide.decide(docs), "decisions", "doc_id")
+    return decisions(documents(spark, sf_dir))
+
 
+@query(O.counters())
+def arbitration_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per language, what the arbitration came to."""
+    docs = decide.decide(detect.contextual(detect.detect(documents(spark, sf_dir, "lang"))))
+    return summary.arbitration_totals(docs.select("lang", decide.arbitration_stats(F.col("decisions")).alias("arbitration")), "lang")
 
-@query()
+
+def processed(docs: DataFrame) -> DataFrame:
+    m = ("precision", "recall", "f1_score", "false_positive_rate", "false_negative_rate", "residual_pii_count", "schema_violations", "consistency_score", "overall_quality_score")
+    c = ("residual_pii_detected", "adversarial_issues_found", "structure_preserved")
+    out = pipeline.process(docs)
+    return out.select("doc_id", "processed_text", F.size("issues").alias("n_issues"), *[F.col(f"quality_metrics.{x}") for x in m], *[F.col(f"checks.{x}") for x in c], "human_review.needs_review", "human_review.reason")
+
+
+@query(O.processed())
 def process_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stage on every document: texts, metrics, issues, advice and review."""
-    out = pipeline.process(documents(spark, sf_dir))
-    return out.select("doc_id", "processed_text", "audit_text", F.size("issues").alias("n_issues"), "quality_metrics", "checks", "recommendations", "human_review.needs_review", "human_review.reason")
+    """Every stage on every document: texts, issues, metrics and review."""
+    return processed(documents(spark, sf_dir))
+
 
+def found(docs: DataFrame) -> DataFrame:
+    return judge.find(detect.contextual(detect.candidates(detect.detect(docs))))
 
-@query()
+
+@query(O.finder())
 def finder_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document, how many findings there are and how sure."""
-    docs = detect.contextual(detect.candidates(detect.detect(documents(spark, sf_dir))))
-    return judge.find(docs).select("doc_id", judge.finder_stats(F.col("findings")).alias("s")).select("doc_id", "s.*")
+    rows = found(documents(spark, sf_dir)).select("doc_id", judge.finder_stats(F.col("findings")).alias("s")).select("doc_id", "s.*")
+    return rows.withColumn("avg_confidence", F.round("avg_confidence", 6))
 
 
-@query()
+@query(O.judged())
 def judge_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per entity type, what the simulated judge says."""
-    docs = detect.contextual(detect.candidates(detect.detect(documents(spark, sf_dir))))
-    return judge.judge_summary(judge.judge(judge.find(docs)))
+    rows = judge.judge_summary(judge.judge(found(documents(spark, sf_dir))))
+    return rows.withColumn("avg_decision_confidence", F.round("avg_decision_confidence", 6))
+
 
+@query(O.policy_kept())
+def policy_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per language, how judgements keep to the policy."""
+    rows = judge.policy_summary(judge.judge(found(documents(spark, sf_dir, "lang"))), "judgements", "lang")
+    return rows.withColumn("models", F.array_join("models_used", ",")).drop("models_used")
 
-@query()
+
+@query(O.summarized())
 def corpus_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals and means of a processed corpus, by language."""
-    return summary.corpus_summary(pipeline.process(documents(spark, sf_dir, "lang")), "lang")
+    out = summary.corpus_summary(pipeline.process(documents(spark, sf_dir, "lang")), "lang")
+    return out.withColumns({c: F.round(c, 6) for c in ("average_quality_score", "average_text_reduction")})
+
+
+# Texts with every kind of identifier, one made of each customer: the tables' own texts have few of them. Read by both engines.
+_K = "CAST(c_custkey AS STRING)"
+_CRAFTED = [
+    f"concat('Host db-', {_K}, '.us-east-1.internal and kafka-broker-', {_K}, '.eu.internal answered on 10.0.0.', CAST(c_custkey % 250 AS STRING), '.')",
+    f"concat('A security incident: see OPS-', {_K}, ' and SEC-', {_K}, ' about ', c_name, '.')",
+    f"concat('Role arn:aws:iam::', lpad({_K}, 12, '0'), ':role/admin', {_K}, ' was used, password: pw', {_K}, '.')",
+    f"concat('Page https://internal-wiki', {_K}, '.example/secret/page ', {_K}, chr(10), 'next line')",
+    f"concat('Pod web-', lpad({_K}, 9, 'a'), '-x2x9z restarted in app.svc twice.')",
+    f"concat('Join #ops-room-', {_K}, ' or write to ops', {_K}, '@example.com and ops', {_K}, '@example.com.')",
+    f"concat('Image acme/web-', {_K}, ':1.', {_K}, ' runs on node', {_K}, '.cluster.local today.')",
+    f"concat('SSN 123-45-', lpad(CAST(c_custkey % 10000 AS STRING), 4, '0'), ' and card 4111 1111 1111 ', lpad(CAST(c_custkey % 10000 AS STRING), 4, '0'), ', call 555-123-', lpad(CAST(c_custkey % 10000 AS STRING), 4, '0'), '.')",
+    f"concat('Budget review, confidential: the salary: $', {_K}, ',000.00 and pay 12 dollars.')",
+    f"concat('After the outage github.com/acme/repo', {_K}, ' had latency: ', {_K}, ' and uptime 99.9% in the incident response.')",
+    f"concat('Privacy issue: customer data leak of source code, analysis found that staff member ', {_K}, ' worked alone.')",
+    f"concat('Trace cust_', {_K}, ' in /var/log/app', {_K}, '/x.log at 300.1.2.3 with key ', sha2(c_name, 256), ' and {{', {_K}, '}}')",
+]
+CRAFTED = "CASE c_custkey % 12 " + " ".join(f"WHEN {k} THEN {x}" for k, x in enumerate(_CRAFTED)) + " END"
+
+
+def identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipeline.spread(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("doc_id"), F.col("c_mktsegment").alias("lang"), F.expr(CRAFTED).alias("text")))
+
+
+def _over_identifiers(sql: str) -> str:
+    crafted = CRAFTED.replace("sha2(c_name, 256)", "sha256(c_name)")
+    return f"SELECT * FROM (WITH documents AS (SELECT c_custkey AS doc_id, c_mktsegment AS lang, {crafted} AS text FROM customer) {sql.replace('WITH ', ', ', 1) if sql.lstrip().startswith('WITH ') else sql})"
+
+
+@query(_over_identifiers(O.detected()))
+def identifier_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of hosts, tickets, roles, pages, pods, channels, images, numbers and secrets."""
+    return S.rows(detect.detect(identifiers(spark, sf_dir)), "spans", "doc_id")
+
+
+@query(_over_identifiers(O._with([*O.detected_ctes(), *O.contextual_ctes()], 'SELECT doc_id, start, "end", text, entity_type, confidence, span_id, snippet FROM contextual')))
+def identifier_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans that their context makes sensitive, of all kinds."""
+    return S.rows(detect.contextual(detect.detect(identifiers(spark, sf_dir))), "contextual", "doc_id")
+
+
+@query(_over_identifiers(O.arbitrated()))
+def identifier_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is done with every kind of identifier, allowlisted ones among them."""
+    return decisions(identifiers(spark, sf_dir))
+
+
+@query(_over_identifiers(O.redacted()))
+def identifier_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rewritten texts of every kind of identifier."""
+    return redacted(identifiers(spark, sf_dir))
+
+
+@query(_over_identifiers(O.processed()))
+def identifier_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Issues, metrics and review of the rewritten texts."""
+    return processed(identifiers(spark, sf_dir))
+
+
+@query(_over_identifiers(O.judged()))
+def identifier_judgements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per entity type, what the simulated judge says of every kind of identifier."""
+    rows = judge.judge_summary(judge.judge(found(identifiers(spark, sf_dir))))
+    return rows.withColumn("avg_decision_confidence", F.round("avg_decision_confidence", 6))
+
+
+@query("""
+WITH o AS (SELECT c_custkey AS k, c_name AS n, lower(c_name) || '@example.com' AS m FROM customer)
+SELECT k::VARCHAR AS incident_id,
+  'Title: ' || n || chr(10) || 'Description: case ' || k || chr(10) || 'Participants:' || chr(10) || '- ' || n || ' (' || m || ')' || chr(10) || '- ' || m AS text_b,
+  'Title: ' || n || chr(10) || 'Description: case ' || k || chr(10) || 'Participants:' || chr(10) || '- ' || n || ' (' || m || ')' || chr(10) || '- ' || m || chr(10) || 'Timeline Events:' || chr(10) || '- opened ' || k || chr(10) || '  User: ' || m || chr(10) || 'Comments:' || chr(10) || '- closed' AS text_a,
+  'Title: ' || n || chr(10) || 'Description: case ' || k || chr(10) || 'Participants:' || chr(10) || '- ' || n || ' (' || m || ') - owner' || chr(10) || '- Unknown (' || m || ') -' AS text_c
+FROM o""")
+def incident_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and the three text forms of incident records, one made of each customer."""
+    mail, none = F.concat(F.lower("c_name"), F.lit("@example.com")), F.lit(None).cast("string")
+    person = lambda name, role: F.struct(none.alias("id"), name.alias("name"), mail.alias("email"), role.alias("role"))
+    user = F.struct(none.alias("id"), none.alias("name"), mail.alias("email"))
+    made = {
+        "id": F.col("c_custkey").cast("string"), "title": F.col("c_name"), "description": F.concat(F.lit("case "), F.col("c_custkey").cast("string")),
+        "participants": F.array(person(F.col("c_name"), F.lit("owner")), person(none, none)), "comments": F.array(F.struct(F.lit("closed").alias("content"))),
+        "events": F.array(F.struct(F.concat(F.lit("opened "), F.col("c_custkey").cast("string")).alias("content"), user.alias("user"))),
+    }
+    rows = table(spark, sf_dir, "customer").select(F.to_json(F.struct(*[v.alias(k) for k, v in made.items()])).alias("raw"), F.lit("").alias("id"))
+    df = incidents.parsed(rows)
+    return df.select(incidents.incident_id(df).alias("incident_id"), incidents.incident_text(df).alias("text_b"), incidents.incident_text(df, timeline=True).alias("text_a"), F.rtrim(incidents.brief_text(df)).alias("text_c"))
+
+
+@query("SELECT c_custkey::VARCHAR AS id, count(o_orderkey)::INTEGER AS n_tasks, coalesce(sum(o_orderkey), 0)::BIGINT AS keys FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey")
+def task_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with their orders beside them, as incidents with their tasks: one join."""
+    tasks = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("incident_id"), F.col("o_orderkey").alias("order"))
+    held = incidents.with_tasks(table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id")), tasks)
+    empty = F.array().cast("array<struct<order:bigint>>")
+    return held.select("id", F.coalesce("tasks", empty).alias("t")).select("id", F.size("t").alias("n_tasks"), F.aggregate("t", F.lit(0).cast("long"), lambda a, x: a + x["order"].cast("long")).alias("keys"))
+
+
+_ANSWER = "concat('Here: {\"is_clean\": ', CASE c_custkey % 5 WHEN 0 THEN 'true' WHEN 1 THEN 'false' WHEN 2 THEN '\"true\"' WHEN 3 THEN 'null' ELSE 'true' END, ', \"confidence\": 0.', CAST(c_custkey % 9 + 1 AS STRING), ', \"overall_assessment\": \"', c_name, '\", \"issues\": ', CASE WHEN c_custkey % 5 = 1 THEN '[{\"snippet\": \"x\", \"issue_type\": \"name\", \"severity\": \"high\", \"reasoning\": \"y\"}]' WHEN c_custkey % 5 = 4 THEN '[1]' ELSE '[]' END, '}')"
+
+
+@query("""
+SELECT c_custkey, (c_custkey % 5 = 0) AS is_clean, CASE WHEN c_custkey % 5 < 2 THEN (c_custkey % 9 + 1) / 10 ELSE 0.0 END::DOUBLE AS confidence, CASE WHEN c_custkey % 5 < 2 THEN c_name ELSE 'Failed to parse LLM response' END AS overall_assessment,
+  (c_custkey % 5 = 1)::INTEGER AS issues, c_custkey % 5 >= 2 AS skipped, CASE WHEN c_custkey % 5 >= 2 THEN 'parse_error' END AS skip_reason
+FROM customer""")
+def review_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reviewer's JSON answers read: clean, flagged, and three that are not as asked."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", review.parsed(F.expr(_ANSWER)).alias("r"))
+    return rows.select("c_custkey", *[F.col(f"r.{c}") for c in ("is_clean", "confidence", "overall_assessment")], F.size("r.issues").alias("issues"), "r.skipped", "r.skip_reason")
