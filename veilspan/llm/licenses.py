@@ -148,16 +148,19 @@ class Templates:
             t = [w for w, _, _ in words(text)]
             key = sorted(set(t) - _COMMON, key=lambda w: (-len(w), w)) or sorted(set(t))
             spare = int((1 - MIN_COVERAGE) * len(t) + 1e-9)
-            self.rows.append((name, t, frozenset(key), self._triggers(t, key, spare)))
+            self.rows.append((name, t, frozenset(key), frozenset(self._triggers(t, key, spare))))
             self.least[name] = sum(w in key for w in t) - spare
             self.reach = max(self.reach, 12 * len(text) + 1_000)
+        self.triggers = sorted(frozenset().union(*(row[3] for row in self.rows)))
         self.marks = {name: [frozenset(x.split()) for x in MARKS[name]] for name, text in templates.items() if name in MARKS and text == TEMPLATES.get(name)}
 
     @staticmethod
     def _triggers(t: list[str], key: list[str], spare: int) -> list[str]:
         """Words of which more than spare occurrences stand in the template; a covered text has one of them."""
         n, out, held = Counter(t), [], 0
-        for w in key + sorted(set(t) - set(key)):
+        # In a long template the longer words that it repeats, so that few are enough and ordinary texts hold none.
+        first = sorted(key, key=lambda w: (len(w) < 6, -n[w], -len(w), w)) if len(t) > 40 else key
+        for w in first + sorted(set(t) - set(key)):
             out.append(w)
             held += n[w]
             if held > spare:
@@ -194,7 +197,8 @@ class Templates:
 
     def _in(self, text: str) -> list[tuple[str, float, int, int]]:
         low = text.lower()
-        open_ = [row for row in self.rows if any(w in low for w in row[3])]
+        there = {w for w in self.triggers if w in low}
+        open_ = [row for row in self.rows if not row[3].isdisjoint(there)] if there else []
         if not open_:
             return []
         ws = words(text)
