@@ -78,7 +78,7 @@ def copies(docs: DataFrame) -> DataFrame:
     if most > CELL:
         # Within a cell the order is by size, then hash: so cells of one size and one range of hashes continue it.
         rows = rows.join(cells.select(*by, F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / CELL))).cast("int").alias("bits")), by)
-        rows = rows.withColumn("range", F.shiftright("h", F.lit(32) - F.col("bits"))).withColumn("exact", F.when(F.col("bits") > 0, F.col("size")).otherwise(0)).drop("bits")
+        rows = rows.withColumn("range", F.expr("shiftright(h, 32 - bits)")).withColumn("exact", F.when(F.col("bits") > 0, F.col("size")).otherwise(0)).drop("bits")
         fine = rows.groupBy(*by, "exact", "range").agg(F.count("*").alias("n"))
         ahead = F.coalesce(F.sum("n").over(Window.partitionBy(*by).orderBy("exact", "range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         cells = materialize(fine.withColumn("ahead", ahead).drop("n").join(cells, by).withColumn("before", F.col("before") + F.col("ahead")).drop("ahead"), "fine")
