@@ -39,7 +39,6 @@ from veilspan.shipping import ship
 
 BUDGET, HISTORY = 1024, 2
 TARGET, SYSTEM = "assistant", "system"
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 _MARKS = re.compile(r"\\|###|</turn>")
 _ROLE_MARKS = re.compile(r"\\|###|</turn>|:")
 _ESCAPED = re.compile(r"\\(\\|###|</turn>|:)")
@@ -163,8 +162,11 @@ def _formatter(budget: int, history: int, tokenizer: str | None):
     return run
 
 
-def format_conversations(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokenizer: str | None = TOKENIZER) -> DataFrame:
-    """Windows of conversations (conv_id, turn, role, text); repeated counts a window's leading turns that are context."""
+def format_conversations(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, *, tokenizer: str | None) -> DataFrame:
+    """Windows of conversations (conv_id, turn, role, text); repeated counts a window's leading turns that are context.
+
+    tokenizer is the path of a tokenizer file that every executor has; None counts words and signs.
+    """
     ship(turns.sparkSession)
     rows = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string"))
     return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(_formatter(budget, history, tokenizer), WINDOWS)

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from veilspan.llm import chat, decontaminate, language_id, licenses, mixing, near_dedup, quality, secrets, sharding, toxicity
 
+#: The vocabulary of a public byte-level tokenizer, as it lies on every machine.
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -77,7 +80,7 @@ def op2_network_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_budgeted_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the formatted windows of every conversation hold, read back from them."""
-    return chat.read_back(chat.format_conversations(chat.with_probe(table(spark, sf_dir, "conversations"))))
+    return chat.read_back(chat.format_conversations(chat.with_probe(table(spark, sf_dir, "conversations")), tokenizer=TOKENIZER))
 
 
 @query
