@@ -405,6 +405,5 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> Data
     Rows without an id are kept; of repeated rows of one id and text all are kept.
     """
     gone = _components(docs.select("doc_id", "text"), k, percent).where("not kept and doc_id is not null").select("doc_id", "mark").distinct()
-    gone = materialize(gone, "gone")
-    mark = _mark(F.col("text"))
-    return docs.join(gone.toDF("__id", "__mark"), (F.col("doc_id").cast("long") == F.col("__id")) & (mark == F.col("__mark")), "left_anti")
+    gone = materialize(gone.toDF("gone_id", "gone_mark"), "gone")
+    return docs.join(gone, (docs["doc_id"].cast("long") == gone["gone_id"]) & (_mark(docs["text"]) == gone["gone_mark"]), "left_anti")
