@@ -4,6 +4,16 @@ Each stage works on all rows its predecessor kept and is written and read again
 before the next: toxic documents go, one document of each near-duplicate group
 stays, documents that hold benchmark items go, sources are mixed to their target
 weights (a document may repeat), and the result is dealt to shards.
+
+Defined cases, beside those of the operators: rows without an id are never taken
+for toxic labels, near copies or leaks and stay until mixing; a text that is null,
+empty or blank is no copy of another, holds no benchmark item and has size 0, so
+mixing takes it as often as others of its source; repeated rows of one id and text
+are kept together or go together before mixing; of an id with several texts each
+row is judged by its own text. Of near copies the smallest id stays. Further
+columns are carried along, whatever their names, until sharding replaces those it
+adds. Empty tables give empty results; without labels nothing is toxic, without
+benchmark items nothing leaks.
 """
 
 from __future__ import annotations
