@@ -4,12 +4,13 @@ The model is a modified Kneser-Ney model of character 4-grams (white space runs
 read as one space), one for each value of lang. It is counted over all
 documents. Each task counts its documents'
 4-grams, Spark adds the counts up, and discounts, continuation counts and
-interpolated probabilities are computed as DataFrames. The finished model is
-stored in arrays sorted by 64-bit hash with a directory over their upper bits. It
-grows with the corpus up to MAX_ENTRIES (12 bytes each); beyond that, the rarest
-4-grams are pruned, then the rarest 3-grams, by a count that is found from the
-numbers of n-grams of each count. A pruned n-gram backs off to a shorter one, and
-every document is scored whatever was pruned; `pruned` tells how many were.
+interpolated probabilities are computed as DataFrames, for all n-grams whatever
+their number. Those of the most frequent 4-grams, MAX_ENTRIES at most (12 bytes
+each), go to every task in arrays sorted by 64-bit hash with a directory over
+their upper bits; a text's 4-grams that are not among them are joined with the
+`rest`, which stays a DataFrame. So each 4-gram of each text counts with its own
+probability, and MAX_ENTRIES decides where it is looked up, not what is found.
+Log probabilities are multiples of 2^-20, whose sums do not depend on their order.
 
 A document's score is its mean negative log probability per character. Per
 language, the median and the median deviation of all documents span a band; a
@@ -27,9 +28,12 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +42,7 @@ from veilspan.llm.common import materialize
 from veilspan.shipping import ship
 
 ORDER = 4
-#: Entries of a model at most: probabilities and back-off weights of all orders and languages.
+#: Entries of a model that are held in memory at most; the others are joined.
 MAX_ENTRIES = 8_000_000
 #: Median deviations (as standard deviations) from a language's middle to the lower and the upper end of its band.
 LOWER, UPPER = 10.0, 16.0
@@ -216,16 +220,23 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class SortedHashes:
-    """Values by hash: ids in order, and a directory from an id's upper bits to its first place."""
+    """Values by hash: ids in order, and a directory from an id's upper bits to its first place.
 
-    def __init__(self, ids: np.ndarray, values: np.ndarray, pruned: int = 0):
+    `pruned` n-grams are not held here; `rest` has them and their back-off weights
+    as (lang, tag, key, value). Tasks get a copy without it.
+    """
+
+    def __init__(self, ids: np.ndarray, values: np.ndarray, pruned: int = 0, rest: DataFrame | None = None):
         order = np.argsort(ids)
-        self.pruned = pruned
+        self.pruned, self.rest = pruned, rest
         self.ids, self.values = ids[order], values[order].astype(np.float32)
         self.shift = _U(64 - max(1, int(len(ids)).bit_length() - 1))
         self.first = np.searchsorted(self.ids, np.arange(1 << (64 - int(self.shift)), dtype=np.uint64) << self.shift).astype(np.int32)
         self.first = np.append(self.first, np.int32(len(ids)))
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"rest": None}
+
     def find(self, ids: np.ndarray) -> np.ndarray:
         """The value of each id; NaN where there is none. A cell of the directory holds one or two ids as a rule."""
         out = np.full(len(ids), np.nan, np.float32)
@@ -241,48 +252,60 @@ class SortedHashes:
         return out
 
 
-def _floors(levels: dict[int, DataFrame], most: int) -> dict[int, int]:
-    """The least count that n-grams of each order must have for the model to fit; 1 keeps all."""
-    # N-grams of each count, counts of 1,000 and more together: a thousand rows for each order.
-    sizes = {n: dict(levels[n].groupBy(F.least("c", F.lit(1000)).alias("c")).agg(F.count("*").alias("n")).collect()) for n in levels}
-    floors, total = dict.fromkeys(levels, 1), 2 * sum(sum(s.values()) for s in sizes.values())
-    for n in range(ORDER, 1, -1):
-        while total > most and floors[n] < 1000:
-            total -= 2 * sizes[n].get(floors[n], 0)
-            floors[n] += 1
+def _floors(levels: dict[int, DataFrame], most: int, entries: int) -> dict[int, int]:
+    """The least count that n-grams of each order must have for `most` entries to do, `entries` for each; 1 keeps all."""
+    # N-grams by count, in 64 steps for each doubling: every count has its own step below 90, and there are a few thousand steps at most.
+    step = F.floor(64 * F.log2("c"))
+    steps = {n: sorted(levels[n].groupBy(step.alias("step")).agg(F.min("c"), F.count("*")).drop("step").collect()) for n in levels}
+    floors, total = dict.fromkeys(levels, 1), entries * sum(size for s in steps.values() for _, size in s)
+    for n in sorted(levels, reverse=True):
+        for (_, size), (above, _) in pairwise([*steps[n], (1 << 62, 0)]):
+            if total <= most:
+                return floors
+            total, floors[n] = total - entries * size, above
     return floors
 
 
-def train(docs: DataFrame, most: int = MAX_ENTRIES) -> SortedHashes:
-    """The model of docs (lang, text), on the driver; `most` entries at most."""
+def _log(name: str) -> Column:
+    return (F.round(F.log(name) * (1 << 20)) / (1 << 20)).cast("float").alias("value")
+
+
+def train(docs: DataFrame, most: int = MAX_ENTRIES, own: bool = False) -> SortedHashes:
+    """The model of docs (lang, text): `most` entries at most on the driver, those of the rarest n-grams in its rest.
+
+    With `own`, it has no shorter n-grams and no back-off weights, which the texts it is learned from do not need.
+    """
     ship(docs.sparkSession)
     counts = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), F.col("text").cast("string").alias("text")).mapInArrow(_count, "lang string, key long, c long")
     counts = materialize(counts.groupBy("lang", "key").agg(F.sum("c").alias("c")), "grams")
     levels = {ORDER: counts}
     for n in range(ORDER - 1, 0, -1):  # how many different characters stand before an n-gram
         levels[n] = materialize(levels[n + 1].groupBy("lang", _suffix(n).alias("key")).agg(F.count("*").alias("c")), "grams")
-    floors = _floors(levels, most)
+    floors = _floors({ORDER: counts}, most, 1) if own else _floors(levels, most, 2)
     pruned = sum(levels[n].where(F.col("c") < floor).count() for n, floor in floors.items() if floor > 1)
-    model, lower = [], None
+    model, rest, lower = [], [], None
     for n in range(1, ORDER + 1):
         rows = levels[n].withColumn("suffix", _suffix(n - 1)) if n > 1 else levels[n]
         p, g = _level(rows, lower)
         p = materialize(p, "p")
-        kept, weights = p, g
-        if floors[n] > 1:
-            kept = p.where(F.col("c") >= floors[n])
-            weights = g.join(kept.select("lang", F.shiftrightunsigned("key", 16).alias("context")).distinct(), ["lang", "context"], "left_semi")
-        model += [kept.select("lang", F.lit(n).alias("tag"), "key", F.log("p").alias("value")), weights.select("lang", F.lit(8 + n - 1).alias("tag"), F.col("context").alias("key"), F.log("g").alias("value"))]
         lower = p.select("lang", F.col("key").alias("suffix"), F.col("p").alias("q"))
-    every = model[0]
-    for m in model[1:]:
-        every = every.unionByName(m)
-    found = every.mapInArrow(_hashed, "id long, value float").toArrow()
-    return SortedHashes(found["id"].to_numpy().view(np.uint64), found["value"].to_numpy(), pruned)
+        if n not in floors:
+            continue
+        held = F.col("c") >= floors[n]
+        parts = [(n, p.where(held), p.where(~held))]
+        if not own:
+            contexts = p.where(held).select("lang", F.shiftrightunsigned("key", 16).alias("key")).distinct()
+            g = g.select("lang", F.col("context").alias("key"), F.col("g").alias("p"))
+            parts.append((8 + n - 1, *(g.join(contexts, ["lang", "key"], how) for how in ("left_semi", "left_anti"))))
+        for tag, inside, outside in parts:
+            model.append(inside.select("lang", F.lit(tag).alias("tag"), "key", _log("p")))
+            rest.append(outside.select("lang", F.lit(tag).alias("tag"), "key", _log("p")))
+    found = reduce(DataFrame.unionByName, model).mapInArrow(_hashed, "id long, value float").toArrow()
+    return SortedHashes(found["id"].to_numpy().view(np.uint64), found["value"].to_numpy(), pruned, reduce(DataFrame.unionByName, rest) if pruned else None)
 
 
 def log_probabilities(model: SortedHashes, lang: str, key: np.ndarray) -> np.ndarray:
-    """Of the last character of each 4-gram; a 4-gram that was not seen backs off to a shorter one."""
+    """Of the last character of each 4-gram of any text; one that the model does not hold in memory backs off to a shorter one."""
     out = model.find(_hash(lang, ORDER, key))
     todo, back = np.flatnonzero(np.isnan(out)), np.zeros(len(key), np.float64)
     for n in range(ORDER - 1, -1, -1):
@@ -298,29 +321,60 @@ def log_probabilities(model: SortedHashes, lang: str, key: np.ndarray) -> np.nda
 
 
 def _scorer(model):
-    schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), *((c, pa.int64()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_grams")), ("nll", pa.float64())])
+    counted = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_grams")
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("lang", pa.string()), *((c, pa.int64()) for c in counted), ("nll", pa.float64()), ("key", pa.int64()), ("n", pa.int64())])
+
+    def batch_of(size: int, **columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in schema], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for lang, texts, rows in _by_lang(batch):
+                ids, row = row + np.arange(len(rows)), row + len(rows)
                 data, offsets = textnp.text_bytes(texts)
                 key, text = grams(data, offsets)
-                logs = log_probabilities(model.value, lang, key)
-                n = np.bincount(text, minlength=len(rows))
-                nll = -np.bincount(text, logs, len(rows))
-                counts = base_counts(data, offsets)
-                yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pa.array(rows)), pa.array([lang] * len(rows), pa.string()), *map(pa.array, counts), pa.array(n.astype(np.int64)), pa.array(nll)], schema=schema)
+                logs = model.value.find(_hash(lang, ORDER, key))
+                late = np.isnan(logs)
+                logs[late] = 0
+                counts = [*base_counts(data, offsets), np.bincount(text, minlength=len(rows)).astype(np.int64)]
+                yield batch_of(len(rows), row=ids, doc_id=batch["doc_id"].take(pa.array(rows)), lang=[lang] * len(rows), nll=-np.bincount(text, logs, len(rows)), **dict(zip(counted, counts, strict=True)))
+                if not late.any():
+                    continue
+                if not model.value.pruned:
+                    raise ValueError("a 4-gram that was not counted: the documents changed between two reads")
+                key, text = key[late], text[late]
+                order = np.lexsort((key, text))
+                key, text = key[order], text[order]
+                first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (text[1:] != text[:-1])))
+                yield batch_of(len(first), row=ids[text[first]], lang=[lang] * len(first), key=key[first].view(np.int64), n=np.diff(np.append(first, len(key))))
 
     return run
 
 
-def quality(docs: DataFrame) -> DataFrame:
-    """doc_id, the base counts, base_failed, kept, score and deviation for every row of docs (doc_id, lang, text)."""
-    spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(train(docs))
+def _scores(docs: DataFrame, model: SortedHashes) -> DataFrame:
+    """doc_id, lang, the base counts, n_grams and nll for every row of docs, from which model was learned."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("lang", F.lit("")).alias("lang"), F.col("text").cast("string").alias("text"))
-    rows = rows.mapInArrow(_scorer(model), "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_grams long, nll double")
-    rows = materialize(rows.withColumn("score", F.when(F.col("n_grams") > 0, F.col("nll") / F.col("n_grams"))), "scores")
+    rows = rows.mapInArrow(_scorer(shared), "row long, doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_grams long, nll double, key long, n long")
+    rows = materialize(rows, "scores")
+    if not model.pruned:
+        return rows.drop("row", "key", "n")
+    # No key is hot here: a 4-gram of the rest is rarer than each of those held.
+    late = rows.where(F.col("key").isNotNull()).select("row", "lang", "key", "n").join(model.rest.where(F.col("tag") == ORDER), ["lang", "key"], "left")
+    value = F.coalesce(F.col("value").cast("double"), F.raise_error(F.lit("a 4-gram that was not counted: the documents changed between two reads")).cast("double"))
+    late = late.groupBy("row").agg(F.sum(F.col("n") * value).alias("late"))
+    rows = rows.where(F.col("key").isNull()).drop("key", "n").join(late, "row", "left")
+    return materialize(rows.withColumn("nll", F.col("nll") - F.coalesce("late", F.lit(0.0))).drop("row", "late"), "scores")
+
+
+def quality(docs: DataFrame, most: int = MAX_ENTRIES) -> DataFrame:
+    """doc_id, the base counts, base_failed, kept, score and deviation for every row of docs (doc_id, lang, text).
+
+    `most` 4-grams of the model are held in memory; the result does not depend on it.
+    """
+    rows = _scores(docs, train(docs, most, own=True))
+    rows = rows.withColumn("score", F.when(F.col("n_grams") > 0, F.col("nll") / F.col("n_grams")))
     # Rounded, a language has a few thousand different values however many documents it has.
     middle = materialize(rows.groupBy("lang").agg(F.percentile(F.round("score", 3), 0.5).alias("middle")), "middle")
     certain = F.sqrt(F.col("n_grams") / (1 + F.col("n_grams") / LONG))
