@@ -35,10 +35,10 @@ def excluded(text: Column) -> Column:
     return out
 
 
-def residual_issues(text: Column, issued: Column, allowed: Column, names: Column | None = None) -> Column:
+def residual_issues(text: Column, issued: Column, allowed: Column, names: Column | None = None, rules: P.Rules = P.UNICODE) -> Column:
     """Identifiers left in a text, but for issued pseudonyms and allowlisted originals. names: spans of a name detector."""
     every = []
-    for name, pattern in P.RESIDUAL.items():
+    for name, pattern in rules.residual.items():
         severity, action, said = SEVERITY.get(name, "medium"), "PSEUDONYMIZE" if name in PSEUDONYMIZED else "REDACT", name.replace("_", " ")
         found = F.filter(S.find(text, pattern), lambda h: ~(F.array_contains(issued, h["text"]) | F.array_contains(allowed, h["text"]) | excluded(h["text"])))
         row = lambda h: _issue("residual_pii", severity, F.concat(F.lit(f"Residual {said} detected: '"), h["text"], F.lit("'")), F.concat(F.lit(f"Apply {action} to '"), h["text"], F.lit("'")), 0.9, f"residual_pattern_{name}", h["start"], h["end"], h["text"])
@@ -67,9 +67,9 @@ def suspicious(name: str, x: Column) -> Column:
     return test & ~marked
 
 
-def adversarial_issues(text: Column) -> Column:
+def adversarial_issues(text: Column, rules: P.Rules = P.UNICODE) -> Column:
     every = []
-    for name, pattern in P.ADVERSARIAL.items():
+    for name, pattern in rules.adversarial.items():
         said = name.replace("_", " ")
         found = F.filter(S.find(text, pattern), lambda h: suspicious(name, h["text"]))
         row = lambda h: _issue("residual_pii", "high", F.concat(F.lit(f"Potential obfuscated {said}: '"), h["text"], F.lit("'")), F.concat(F.lit("Investigate potential obfuscated PII: '"), h["text"], F.lit("'")), 0.8, f"adversarial_{name}", h["start"], h["end"], h["text"])
@@ -81,17 +81,17 @@ def _count(text: Column, sign: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(sign), F.lit("")))
 
 
-def structure_counts(text: Column) -> dict[str, Column]:
+def structure_counts(text: Column, rules: P.Rules = P.UNICODE) -> dict[str, Column]:
     """Lines, structural patterns, brackets outside markers, and quotes of a text."""
     out = {"lines": _count(text, "\n") + 1}
-    out |= {name: F.regexp_count(text, F.lit(p)) for name, p in P.STRUCTURE.items()}
+    out |= {name: F.regexp_count(text, F.lit(p)) for name, p in rules.structure.items()}
     bare = F.regexp_replace(text, P.MARKER, "")
     return out | {"brackets": _count(bare, "[") + _count(bare, "]"), "quotes": _count(text, '"') + _count(text, "'")}
 
 
-def schema_issues(before: Column, after: Column) -> Column:
+def schema_issues(before: Column, after: Column, rules: P.Rules = P.UNICODE) -> Column:
     """What of a text's structure the rewrite has changed. Markers are taken out of the rewritten text only."""
-    counted = [structure_counts(before), structure_counts(after)]
+    counted = [structure_counts(before, rules), structure_counts(after, rules)]
     counted[0]["brackets"] = _count(before, "[") + _count(before, "]")
     return S.let(F.struct(*[F.struct(*[v.alias(k) for k, v in c.items()]).alias(n) for n, c in zip("ab", counted, strict=True)]), lambda x: _schema_issues(x["a"], x["b"]))
 
@@ -161,14 +161,14 @@ def recommendations(issues: Column, m: Column) -> Column:
     ))
 
 
-def validate(df: DataFrame, text: str = "text", processed: str = "processed_text", decisions: str = "decisions", names: str | None = None) -> DataFrame:
+def validate(df: DataFrame, text: str = "text", processed: str = "processed_text", decisions: str = "decisions", names: str | None = None, rules: P.Rules = P.UNICODE) -> DataFrame:
     """df with issues, quality_metrics and recommendations. names: spans that a name detector found in the processed text."""
     t, p, d = F.col(f"`{text}`"), F.col(f"`{processed}`"), F.col(f"`{decisions}`")
     issued = F.transform(F.filter(d, lambda x: x["final_action"] == "PSEUDONYMIZE"), lambda x: x["replacement"])
     allowed = F.transform(F.filter(d, lambda x: (x["final_action"] == "RETAIN") & x["reasoning"].startswith("Allowlist override")), lambda x: x["original_text"])
     df = df.withColumn("__issued", issued).withColumn("__allowed", allowed)
-    df = df.withColumn("__residual", residual_issues(p, F.col("__issued"), F.col("__allowed"), F.col(f"`{names}`") if names else None))
-    df = df.withColumn("__adversarial", adversarial_issues(p)).withColumn("__schema", schema_issues(t, p)).withColumn("__consistency", consistency_issues(d))
+    df = df.withColumn("__residual", residual_issues(p, F.col("__issued"), F.col("__allowed"), F.col(f"`{names}`") if names else None, rules))
+    df = df.withColumn("__adversarial", adversarial_issues(p, rules)).withColumn("__schema", schema_issues(t, p, rules)).withColumn("__consistency", consistency_issues(d))
     df = df.withColumn("issues", F.concat("__residual", "__schema", "__consistency", "__adversarial"))
     i = F.col("issues")
     metrics = quality_metrics(F.size(d), count(i, "issue_type", "residual_pii"), count(i, "issue_type", "schema_violation"), count(i, "issue_type", "inconsistency"), {s: count(i, "severity", s) for s in PENALTY})
