@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veilspan.functions import patterns as P
+
 HIT = "array<struct<start:int,end:int,text:string>>"
 SPANS = "array<struct<start:int,end:int,text:string,entity_type:string,confidence:double,method:string,category:string,action:string>>"
 
@@ -50,8 +52,8 @@ def sums(values: Column) -> Column:
     return let(values, whole)
 
 
-def find(text: Column, pattern: str) -> Column:
-    """All matches of a pattern with their offsets, left to right.
+def find(text: Column, pattern: str, may: Column | None = None) -> Column:
+    """All matches of a pattern with their offsets, left to right. may: whether the text can have any, if that is known.
 
     split() and regexp_extract_all() alternate gap and match, so running lengths
     give the offsets. A text without a match, or null, costs one search and gives
@@ -65,7 +67,7 @@ def find(text: Column, pattern: str) -> Column:
         row = lambda before, p: F.struct((before + p["gap"]).alias("start"), (before + p["gap"] + F.length(p["hit"])).alias("end"), p["hit"].alias("text"))
         return F.zip_with(sums(steps), pairs, row)
 
-    return F.when(text.rlike(pattern), let(found, placed)).otherwise(none(HIT)).cast(HIT)
+    return F.when(text.rlike(pattern) if may is None else may & text.rlike(pattern), let(found, placed)).otherwise(none(HIT)).cast(HIT)
 
 
 def typed(hits: Column, entity_type: str, confidence: float, method: str, category: str, action: str) -> Column:
@@ -140,6 +142,24 @@ def snippet(text: Column, start: Column, end: Column, size: int) -> Column:
     return F.concat(F.when(a > 0, "...").otherwise(""), F.substring(text, a + 1, b - a), F.when(b < F.length(text), "...").otherwise(""))
 
 
+def signs(text: Column, rules: P.Rules, *names: str) -> Column:
+    """A struct that tells for each pattern whether the text may match it.
+
+    Words are looked for in the text's bytes, in lower case where the pattern folds
+    it; a regular expression, which costs ten times as much or more, then runs only
+    on the texts that hold what it needs.
+    """
+    shapes = sorted({rules.shapes[n] for n in names if n in rules.shapes})
+    seen = let(F.lower(text), lambda low: F.struct(low.alias("low"), contains_any(low, P.ODD).alias("odd"), *[text.rlike(s).alias(f"s{i}") for i, s in enumerate(shapes)]))
+
+    def told(x: Column) -> Column:
+        hint = lambda n: x["odd"] | contains_any(x["low"], P.HINTS[n]) if n in P.HINTS else F.lit(True)
+        shape = lambda n: x[f"s{shapes.index(rules.shapes[n])}"] if n in rules.shapes else F.lit(True)
+        return F.struct(*[(shape(n) & hint(n)).alias(n) for n in names])
+
+    return let(seen, told)
+
+
 def contains_any(text: Column, words) -> Column:
     found = F.lit(False)
     for w in words:

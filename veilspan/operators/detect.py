@@ -46,9 +46,9 @@ def ner_spans(found: Column, policy: Policy) -> Column:
     return F.transform(kept, lambda x: F.struct(x["start"], x["end"], x["text"], pick(x, names).alias("entity_type"), x["score"].alias("confidence"), F.lit("ner").alias("method"), pick(x, kinds).alias("category"), pick(x, actions).alias("action"))).cast(S.SPANS)
 
 
-def ipv4_spans(text: Column, policy: Policy, rules: P.Rules = P.UNICODE) -> Column:
+def ipv4_spans(text: Column, policy: Policy, rules: P.Rules = P.UNICODE, may: Column | None = None) -> Column:
     """Dotted quads of octets, in place of a library's recogniser."""
-    return S.typed(S.find(text, rules.ipv4), "ip_address", 0.6, "ipv4", policy.category("ip_address") or "OPERATIONAL_IDENTIFIERS", policy.action("ip_address"))
+    return S.typed(S.find(text, rules.ipv4, may), "ip_address", 0.6, "ipv4", policy.category("ip_address") or "OPERATIONAL_IDENTIFIERS", policy.action("ip_address"))
 
 
 def detect(df: DataFrame, text: str = "text", policy: Policy | None = None, ner: str | None = None, out: str = "spans", rules: P.Rules = P.UNICODE) -> DataFrame:
@@ -61,21 +61,22 @@ def detect(df: DataFrame, text: str = "text", policy: Policy | None = None, ner:
     """
     policy = policy or Policy.default()
     t = F.col(f"`{text}`")
-    ner_, safe, custom = (f"__{out}_{x}" for x in ("ner", "safe", "custom"))
+    ner_, safe, custom, signs = (f"__{out}_{x}" for x in ("ner", "safe", "custom", "signs"))
+    df = df.withColumn(signs, S.signs(t, rules, "ipv4", *rules.safety, *rules.custom, "secret"))
     extra = ner_spans(F.col(f"`{ner}`"), policy) if ner else S.none()
-    ip = ipv4_spans(t, policy, rules) if "ip_address" in policy.categories else S.none()
+    ip = ipv4_spans(t, policy, rules, F.col(signs)["ipv4"]) if "ip_address" in policy.categories else S.none()
     df = df.withColumn(ner_, F.concat(extra, S.apart(ip, extra)) if ner else ip).withColumn(safe, S.none()).withColumn(custom, S.none())
     for name, pattern in rules.safety.items():
         if name in policy.categories:
-            found = S.apart(S.typed(S.find(t, pattern), name, 0.95, "regex_fallback", policy.category(name), policy.action(name)), F.col(safe))
+            found = S.apart(S.typed(S.find(t, pattern, F.col(signs)[name]), name, 0.95, "regex_fallback", policy.category(name), policy.action(name)), F.col(safe))
             before = F.filter(ner_, lambda s: s["entity_type"] != "person_name") if name == "hostname" else F.col(ner_)
             df = df.withColumn(safe, F.concat(safe, S.apart(found, before)))
     for name, pattern in rules.custom.items():
-        found = S.typed(S.find(t, pattern), f"custom_{name}", 0.8, "regex", *CUSTOM_KIND[name])
+        found = S.typed(S.find(t, pattern, F.col(signs)[name]), f"custom_{name}", 0.8, "regex", *CUSTOM_KIND[name])
         df = df.withColumn(custom, F.concat(custom, S.apart(S.apart(found, F.col(safe)), F.col(ner_))))
     df = df.withColumn(safe, F.concat(ner_, safe, custom))
-    secret = S.apart(S.typed(S.find(t, rules.secret), "api_key", 0.9, "keyword_assignment", "SECRETS", "REDACT"), F.col(safe))
-    return df.withColumn(out, S.resolve(F.concat(safe, secret))).drop(ner_, safe, custom)
+    secret = S.apart(S.typed(S.find(t, rules.secret, F.col(signs)["secret"]), "api_key", 0.9, "keyword_assignment", "SECRETS", "REDACT"), F.col(safe))
+    return df.withColumn(out, S.resolve(F.concat(safe, secret))).drop(ner_, safe, custom, signs)
 
 
 def candidates(df: DataFrame, text: str = "text", spans: str = "spans", out: str = "candidates") -> DataFrame:
@@ -103,12 +104,13 @@ def contextual_confidence(text: Column, start: Column, match: Column) -> Column:
 
 def contextual(df: DataFrame, text: str = "text", spans: str = "spans", out: str = "contextual", least: float = 0.6, rules: P.Rules = P.UNICODE) -> DataFrame:
     """df with spans that their context makes sensitive; they yield to the deterministic ones, not to each other."""
-    t, every = F.col(f"`{text}`"), []
+    t, every, signs = F.col(f"`{text}`"), [], f"__{out}_signs"
+    df = df.withColumn(signs, S.signs(t, rules, *rules.contextual))
     for name, pattern in rules.contextual.items():
-        found = S.apart(S.find(t, pattern), F.col(f"`{spans}`"))
+        found = S.apart(S.find(t, pattern, F.col(signs)[name]), F.col(f"`{spans}`"))
         row = lambda h: F.struct(
             F.concat(F.lit(f"llm_{name}_"), h["start"].cast("string"), F.lit("_"), h["end"].cast("string")).alias("span_id"), h["start"], h["end"], h["text"], F.lit(f"contextual_{name}").alias("entity_type"),
             contextual_confidence(t, h["start"], h["text"]).alias("confidence"), S.snippet(t, h["start"], h["end"], 75).alias("snippet"),
         )
         every.append(F.transform(found, row).cast(CONTEXTUAL))
-    return df.withColumn(out, F.concat(*every)).withColumn(out, F.filter(out, lambda s: s["confidence"] >= F.lit(float(least))))
+    return df.withColumn(out, F.concat(*every)).withColumn(out, F.filter(out, lambda s: s["confidence"] >= F.lit(float(least)))).drop(signs)

@@ -15,8 +15,8 @@ from veilspan.operators import decide, detect, judge, models, plugins, review, s
 from veilspan.operators.policy import Allowlist, Policy
 
 
-#: Bytes for each core up to which an input is dealt out anew.
-SMALL = 16 << 20
+#: Bytes, by the planner's estimate, that one task works on at most.
+PIECE = 4 << 20
 
 
 #: Columns that process() makes beside the texts, metrics and reviews.
@@ -24,15 +24,15 @@ MADE = ("spans", "candidates", "contextual", "findings", "judgements", "judge_st
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """df dealt evenly to all cores if the planner puts it at no more than SMALL bytes for each of them.
+    """df dealt evenly to all cores, in pieces of PIECE bytes at most.
 
-    A file of one row group is one task's work, and these pipelines cost far more
-    than the shuffle of so few bytes. A larger input has row groups enough and is
-    read as it lies, without a shuffle.
+    A row group is one task's work as it lies, whatever its size, and these pipelines
+    cost more than the shuffle of their input. So the longest task does not grow
+    with the input: there are more of them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(2 * cores) if size <= SMALL * cores else df
+    return df.repartition(max(2 * cores, -(-size // PIECE)))
 
 
 def named(df: DataFrame, text: str, out: str, detector=None, people: bool = False, find=plugins.detect_with) -> DataFrame:
