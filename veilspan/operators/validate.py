@@ -35,12 +35,12 @@ def excluded(text: Column) -> Column:
     return out
 
 
-def residual_issues(text: Column, issued: Column, allowed: Column, names: Column | None = None, rules: P.Rules = P.UNICODE) -> Column:
-    """Identifiers left in a text, but for issued pseudonyms and allowlisted originals. names: spans of a name detector."""
+def residual_issues(text: Column, issued: Column, allowed: Column, names: Column | None = None, rules: P.Rules = P.UNICODE, signs: Column | None = None) -> Column:
+    """Identifiers left in a text, but for issued pseudonyms and allowlisted originals. names: spans of a name detector. signs: see spans.signs."""
     every = []
     for name, pattern in rules.residual.items():
         severity, action, said = SEVERITY.get(name, "medium"), "PSEUDONYMIZE" if name in PSEUDONYMIZED else "REDACT", name.replace("_", " ")
-        found = F.filter(S.find(text, pattern), lambda h: ~(F.array_contains(issued, h["text"]) | F.array_contains(allowed, h["text"]) | excluded(h["text"])))
+        found = F.filter(S.find(text, pattern, None if signs is None else signs[name]), lambda h: ~(F.array_contains(issued, h["text"]) | F.array_contains(allowed, h["text"]) | excluded(h["text"])))
         row = lambda h: _issue("residual_pii", severity, F.concat(F.lit(f"Residual {said} detected: '"), h["text"], F.lit("'")), F.concat(F.lit(f"Apply {action} to '"), h["text"], F.lit("'")), 0.9, f"residual_pattern_{name}", h["start"], h["end"], h["text"])
         every.append(F.transform(found, row).cast(ISSUES))
     if names is not None:
@@ -67,11 +67,11 @@ def suspicious(name: str, x: Column) -> Column:
     return test & ~marked
 
 
-def adversarial_issues(text: Column, rules: P.Rules = P.UNICODE) -> Column:
+def adversarial_issues(text: Column, rules: P.Rules = P.UNICODE, signs: Column | None = None) -> Column:
     every = []
     for name, pattern in rules.adversarial.items():
         said = name.replace("_", " ")
-        found = F.filter(S.find(text, pattern), lambda h: suspicious(name, h["text"]))
+        found = F.filter(S.find(text, pattern, None if signs is None else signs[name]), lambda h: suspicious(name, h["text"]))
         row = lambda h: _issue("residual_pii", "high", F.concat(F.lit(f"Potential obfuscated {said}: '"), h["text"], F.lit("'")), F.concat(F.lit("Investigate potential obfuscated PII: '"), h["text"], F.lit("'")), 0.8, f"adversarial_{name}", h["start"], h["end"], h["text"])
         every.append(F.transform(found, row).cast(ISSUES))
     return F.concat(*every)
@@ -166,9 +166,9 @@ def validate(df: DataFrame, text: str = "text", processed: str = "processed_text
     t, p, d = F.col(f"`{text}`"), F.col(f"`{processed}`"), F.col(f"`{decisions}`")
     issued = F.transform(F.filter(d, lambda x: x["final_action"] == "PSEUDONYMIZE"), lambda x: x["replacement"])
     allowed = F.transform(F.filter(d, lambda x: (x["final_action"] == "RETAIN") & x["reasoning"].startswith("Allowlist override")), lambda x: x["original_text"])
-    df = df.withColumn("__issued", issued).withColumn("__allowed", allowed)
-    df = df.withColumn("__residual", residual_issues(p, F.col("__issued"), F.col("__allowed"), F.col(f"`{names}`") if names else None, rules))
-    df = df.withColumn("__adversarial", adversarial_issues(p, rules)).withColumn("__schema", schema_issues(t, p, rules)).withColumn("__consistency", consistency_issues(d))
+    df = df.withColumn("__signs", S.signs(p, rules, *rules.residual, *rules.adversarial)).withColumn("__issued", issued).withColumn("__allowed", allowed)
+    df = df.withColumn("__residual", residual_issues(p, F.col("__issued"), F.col("__allowed"), F.col(f"`{names}`") if names else None, rules, F.col("__signs")))
+    df = df.withColumn("__adversarial", adversarial_issues(p, rules, F.col("__signs"))).withColumn("__schema", schema_issues(t, p, rules)).withColumn("__consistency", consistency_issues(d))
     df = df.withColumn("issues", F.concat("__residual", "__schema", "__consistency", "__adversarial"))
     i = F.col("issues")
     metrics = quality_metrics(F.size(d), count(i, "issue_type", "residual_pii"), count(i, "issue_type", "schema_violation"), count(i, "issue_type", "inconsistency"), {s: count(i, "severity", s) for s in PENALTY})
@@ -178,4 +178,4 @@ def validate(df: DataFrame, text: str = "text", processed: str = "processed_text
         F.size("__schema").alias("schema_violations"), (F.size("__schema") == 0).alias("structure_preserved"), F.size(F.filter("__schema", lambda x: x["method"].contains("formatting"))).alias("formatting_issues"),
         F.lit(len(P.ADVERSARIAL)).alias("adversarial_patterns_checked"),
     )
-    return df.withColumn("checks", checks).drop("__issued", "__allowed", "__residual", "__adversarial", "__schema", "__consistency")
+    return df.withColumn("checks", checks).drop("__signs", "__issued", "__allowed", "__residual", "__adversarial", "__schema", "__consistency")
